@@ -65,14 +65,9 @@ def map_condition(
     salt: str,
     order: Sequence[str] = ("START_DATE",),
 ) -> DataFrame:
-    """One Condition per encounter and concept: the first cohort row in ``order``.
-
-    A first pass keeps one row per patient, encounter and concept before any exchange, so
-    the id joins see bounded groups; the second settles encounters shared by patients.
-    """
-    per_patient = first_per_key(df, [ENCOUNTER, PATIENT, "CONCEPT_CD"], order)
+    """One Condition per encounter and concept: the first cohort row in ``order``."""
     rows = first_per_key(
-        with_ids(per_patient, patients, encounters), [ENCOUNTER, "CONCEPT_CD"], [*order, PATIENT]
+        with_ids(df, patients, encounters), [ENCOUNTER, "CONCEPT_CD"], [*order, PATIENT]
     )
     return n.as_resource(rows, "Condition", {
         "id": scalars.pseudonym("Condition", scalars.row_key([ENCOUNTER, "CONCEPT_CD"]), salt),

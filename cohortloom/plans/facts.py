@@ -24,12 +24,21 @@ def leaves(path: str, *names: str) -> str:
     return f"arrays_zip({', '.join(f'{path}.{name}' for name in names)})"
 
 
+def spread(df: DataFrame, columns: list[str], array: str, into: str | None = None) -> DataFrame:
+    """The columns, then one row per array item: as column ``into``, or its struct fields.
+
+    Columns are projected to leaves and the array is built below the explode, so whole
+    structs neither reach the scan nor the exploded rows.
+    """
+    below = df.selectExpr(*columns, f"{array} AS _items")
+    item = "inline(_items)" if into is None else f"explode(_items) AS {into}"
+    return below.selectExpr(*below.columns[:-1], item)
+
+
 def note_encounters(documents: DataFrame) -> DataFrame:
     """(encounter_id, subject_id, enct_date): first note day of each noted encounter."""
-    rows = documents.selectExpr(
-        SUBJECT, f"{scalars.day('date')} AS day",
-        "explode(context.encounter.reference_id_aa) AS encounter_id",
-    )
+    columns = [SUBJECT, f"{scalars.day('date')} AS day"]
+    rows = spread(documents, columns, "context.encounter.reference_id_aa", "encounter_id")
     return rows.groupBy("encounter_id", "subject_id").agg(F.min("day").alias("enct_date"))
 
 
@@ -49,10 +58,12 @@ def patient_demographics(patients: DataFrame, as_of) -> DataFrame:
     and address; patients without birth year, gender, extension or address are left out.
     """
     dob = scalars.parse_day("concat(birthDate, '-01-01')")
-    rows = patients.where("birthDate IS NOT NULL AND gender IS NOT NULL").selectExpr(
+    usable = patients.where("birthDate IS NOT NULL AND gender IS NOT NULL")
+    columns = [
         "id AS subject_id", "gender", f"{dob} AS dob", f"{_age(as_of)} AS age",
-        "address.postalCode AS postal", f"explode({_RACES}) AS race",
-    )
+        "address.postalCode AS postal",
+    ]
+    rows = spread(usable, columns, _RACES, "race")
     return rows.selectExpr(
         "gender", "dob", "age", "race", "explode(postal) AS postalcode", "subject_id"
     ).distinct()
@@ -68,11 +79,11 @@ def patient_profiles(patients: DataFrame, as_of, collapse_race: bool = False) ->
     if collapse_race:
         known = f"array_compact({races})"
         races = f"CASE WHEN size({known}) > 0 THEN {known} ELSE {races} END"
-    return patients.where(
+    usable = patients.where(
         "birthDate IS NOT NULL AND gender IS NOT NULL AND size(address.postalCode) > 0"
-    ).selectExpr(
-        "id AS subject_id", "gender", f"{_age(as_of)} AS age", f"explode({races}) AS race"
-    ).distinct()
+    )
+    columns = ["id AS subject_id", "gender", f"{_age(as_of)} AS age"]
+    return spread(usable, columns, races, "race").distinct()
 
 
 def with_code(conditions: DataFrame, code: str = fv.COVID_DIAGNOSIS) -> DataFrame:
@@ -122,10 +133,9 @@ def lab_results(
     default: str | None = None,
 ) -> DataFrame:
     """Distinct (subject_id, encounter_id, enct_date, covid_lab_test)."""
-    return observations.where(IS_LAB).selectExpr(
-        SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date",
-        f"explode({value_labels(positive, negative, default)}) AS covid_lab_test",
-    ).distinct()
+    labels = value_labels(positive, negative, default)
+    columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
+    return spread(observations.where(IS_LAB), columns, labels, "covid_lab_test").distinct()
 
 
 def classifier_results(
@@ -135,9 +145,10 @@ def classifier_results(
     negative: str = "Negative",
 ) -> DataFrame:
     """Distinct (subject_id, encounter_id, enct_date, covid_classifier)."""
-    return observations.where(is_classifier(tag)).selectExpr(
-        SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date",
-        f"explode({value_labels(positive, negative)}) AS covid_classifier",
+    labels = value_labels(positive, negative)
+    columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
+    return spread(
+        observations.where(is_classifier(tag)), columns, labels, "covid_classifier"
     ).distinct()
 
 
@@ -166,7 +177,7 @@ def symptom_majority(
     observations: DataFrame, labels: Mapping[str, str] = fv.SYMPTOMS_B, system: str | None = fv.SNOMED
 ) -> DataFrame:
     """(encounter_id, symptoms) asserted more often than negated."""
-    rows = observations.selectExpr(ENCOUNTER, f"inline({votes(labels, system)})")
+    rows = spread(observations, [ENCOUNTER], votes(labels, system))
     return (
         rows.groupBy("encounter_id", F.col("label").alias("symptoms"))
         .agg(F.sum("vote").alias("votes"))
@@ -178,7 +189,7 @@ def symptom_majority(
 def asserted_symptoms(observations: DataFrame, kept: Iterable[str]) -> DataFrame:
     """Distinct (subject_id, encounter_id, symptom_code) of asserted mentions."""
     own = {code: code for code in kept}
-    rows = observations.selectExpr(SUBJECT, ENCOUNTER, f"inline({votes(own)})")
+    rows = spread(observations, [SUBJECT, ENCOUNTER], votes(own))
     return rows.where("vote = 1").selectExpr(
         "subject_id", "encounter_id", "label AS symptom_code"
     ).distinct()
@@ -221,9 +232,8 @@ def encounter_evidence(
                 f"CASE WHEN {condition} THEN transform({value_labels(*pair, missing)}, {one}) END"
             )
     facts = ", ".join(f"coalesce({p}, array())" for p in parts)
-    rows = observations.where("encounter.reference_id_aa IS NOT NULL").selectExpr(
-        ENCOUNTER, f"inline(concat({facts}))"
-    )
+    placed = observations.where("encounter.reference_id_aa IS NOT NULL")
+    rows = spread(placed, [ENCOUNTER], f"concat({facts})")
     score = "vote" if majority else "CASE WHEN vote > 0 THEN 1 END"
     summed = rows.groupBy("encounter_id").agg(*[
         F.expr(f"sum(CASE WHEN kind = '{kind}' AND label = {text(label)} THEN {score} END) AS _{i}")

@@ -7,7 +7,9 @@ columns it names, and no report repeats the id joins and deduplication.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortloom import schemas
@@ -25,17 +27,22 @@ TABLES = {
 }
 
 
-def assign_ids(cohort: DataFrame, folder: str, salt: str) -> tuple[DataFrame, DataFrame]:
-    """Patient and encounter maps of a note cohort, saved unless the folder has them."""
-    spark, root = cohort.sparkSession, folder.rstrip("/")
-    loaded = []
-    for name, kind, key in (
-        ("patient_mapping", "Patient", resources.PATIENT),
-        ("encounter_mapping", "Encounter", resources.ENCOUNTER),
-    ):
-        save_id_map(cohort_id_map(cohort, key, kind, salt), f"{root}/{name}")
-        loaded.append(load_id_map(spark, f"{root}/{name}"))
-    return loaded[0], loaded[1]
+ID_MAPS = {
+    "patient_mapping": ("Patient", resources.PATIENT),
+    "encounter_mapping": ("Encounter", resources.ENCOUNTER),
+}
+
+
+def assign_ids(cohort: DataFrame, folder: str, salt: str) -> None:
+    """Save the patient and encounter maps of a note cohort, unless the folder has them."""
+    for name, (kind, key) in ID_MAPS.items():
+        save_id_map(cohort_id_map(cohort, key, kind, salt), f"{folder.rstrip('/')}/{name}")
+
+
+def load_ids(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The saved patient and encounter maps."""
+    patients, encounters = (load_id_map(spark, f"{folder.rstrip('/')}/{name}") for name in ID_MAPS)
+    return patients, encounters
 
 
 def write_tables(
@@ -43,12 +50,18 @@ def write_tables(
 ) -> None:
     """Write resources as stored tables, flattened and annotated. A rerun replaces them.
 
-    Columns in ``leave_out`` are neither computed nor written.
+    Columns in ``leave_out`` are neither computed nor written. The writes are independent
+    jobs and are submitted together, so that one's last tasks overlap the next one's first.
     """
-    for name, df in frames.items():
-        table = to_stored(df, TABLES[name]).drop(*leave_out)
+
+    def write(name: str) -> None:
+        table = to_stored(frames[name], TABLES[name]).drop(*leave_out)
         table.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
+    session = next(iter(frames.values())).sparkSession
+    with ThreadPoolExecutor(len(TABLES)) as pool:
+        list(pool.map(inheritable_thread_target(session)(write), frames))
+
 
 def read_tables(
     spark: SparkSession, folder: str, names: Sequence[str] = tuple(TABLES)
@@ -80,7 +93,8 @@ def build_store(
     unless ``keep_notes``.
     """
     notes = extracts["note_cohort"]
-    patients, encounters = assign_ids(notes, folder, salt)
+    assign_ids(notes, folder, salt)
+    patients, encounters = load_ids(notes.sparkSession, folder)
     observation = resources.map_lab_observation(
         extracts["lab_cohort"], patients, encounters, salt
     ).unionByName(mentions.mention_resources(annotated, "Observation", salt, order["annotated"], types))

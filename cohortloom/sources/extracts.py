@@ -74,4 +74,6 @@ def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     The bound is an exchange at the sink only, so the work upstream keeps its parallelism.
     """
     out = df.repartition(files) if files else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)

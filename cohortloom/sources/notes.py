@@ -36,7 +36,7 @@ def segment_notes(lines: DataFrame) -> DataFrame:
     within the split. No task ever orders more than one split, however large the file.
     """
     marked = lines.selectExpr(
-        "patient_uuid", *POSITION, r"regexp_replace(line, '\\s+$', '') AS line"
+        "patient_uuid", *POSITION, r"regexp_replace(line, '[\\s\\p{Z}]+$', '') AS line"
     ).withColumn("is_header", F.expr(f"CAST(line RLIKE {text(fv.NOTE_HEADER)} AS INT)"))
     split_key = ["src_file", "src_block"]
     before_split = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(

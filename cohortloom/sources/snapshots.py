@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,14 +31,16 @@ def _data_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/version={version}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """(version, committed_at, operation, source_version, rows), one row per commit."""
-    try:
-        return spark.read.schema(HISTORY).parquet(_history_path(path))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not _exists(spark, _history_path(path)):
         return spark.createDataFrame([], HISTORY)
+    return spark.read.schema(HISTORY).parquet(_history_path(path))
 
 
 def _commit(spark, path, version, operation, source_version, rows, committed_at) -> int:

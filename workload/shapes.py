@@ -15,7 +15,7 @@ from cohortloom import schemas
 from cohortloom.functions import fixed_values as fv
 from cohortloom.operators import mentions as m
 from cohortloom.operators import resources as r
-from cohortloom.plans.pipeline import assign_ids, build_store, read_tables
+from cohortloom.plans.pipeline import assign_ids, build_store, load_ids, read_tables
 from cohortloom.session import configure, shared_folder
 
 SALT = "workload"
@@ -82,12 +82,10 @@ SHAPES = {
         "event_id + 5 AS end_pos",
         "event_type AS mention_text",
         "CASE WHEN event_type IN ('error', 'view') THEN -1 ELSE 0 END AS polarity",
-        f"CASE {_PROP} WHEN 0 THEN '49727002' WHEN 1 THEN '11833005' WHEN 2 THEN '62315008'"
-        " WHEN 3 THEN '84229001' WHEN 4 THEN '43724002' WHEN 5 THEN '25064002'"
-        " WHEN 6 THEN '386661006' WHEN 7 THEN '44169009' ELSE '999999' END AS snomed_code",
-        f"CASE {_PROP} WHEN 0 THEN 'C0010200' WHEN 1 THEN 'C0850149' WHEN 2 THEN 'C0011991'"
-        " WHEN 3 THEN 'C0015672' WHEN 4 THEN 'C0085593' WHEN 5 THEN 'C0018681'"
-        " WHEN 6 THEN 'C0015967' WHEN 7 THEN 'C2364111' ELSE 'C9999999' END AS cui",
+        "split_part('49727002,11833005,62315008,84229001,43724002,25064002,386661006,44169009,"
+        f"999999', ',', {_PROP} + 1) AS snomed_code",
+        "split_part('C0010200,C0850149,C0011991,C0015672,C0085593,C0018681,C0015967,C2364111,"
+        f"C9999999', ',', {_PROP} + 1) AS cui",
         "CASE event_id % 5 WHEN 0 THEN 'MedicationMention' WHEN 1 THEN 'ProcedureMention'"
         " WHEN 2 THEN 'DiseaseDisorderMention' ELSE 'SignSymptomMention' END AS sem_type",
     ]),
@@ -109,6 +107,7 @@ def shape_sql(name: str) -> str:
 
 
 _STORES: dict[tuple, str] = {}
+_MAPPED: set[str] = set()
 _BUILT: set[str] = set()
 
 
@@ -135,17 +134,22 @@ class Warehouse:
     @cached_property
     def folder(self) -> str:
         """Folder of this data's id maps and tables, named after the state of its files."""
-        files = self.spark.read.format("binaryFile").load(f"{self.sf_dir}/*.parquet")
-        state = files.select(F.xxhash64("path", "modificationTime", "length").alias("h"))
-        total = state.agg(F.sum(F.col("h").cast("decimal(38,0)"))).first()[0]
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, str(total))
+        glob = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/*.parquet")
+        files = glob.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(glob)
+        state = tuple(sorted(
+            (f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files
+        ))
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, state)
         if key not in _STORES:
             _STORES[key] = shared_folder(self.spark)
         return _STORES[key]
 
     @cached_property
     def id_maps(self) -> tuple[DataFrame, DataFrame]:
-        return assign_ids(self.extract("note_cohort"), self.folder, SALT)
+        if self.folder not in _MAPPED:
+            assign_ids(self.extract("note_cohort"), self.folder, SALT)
+            _MAPPED.add(self.folder)
+        return load_ids(self.spark, self.folder)
 
     @property
     def patients(self) -> DataFrame:
