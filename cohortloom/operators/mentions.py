@@ -60,18 +60,22 @@ def explode_mentions(
     """One row per mention of the listed semantic types, with its note context.
 
     Unlisted types are cut from the map before the explode. ``order`` columns are carried.
+    Notes with an empty map give no row. The outer generators keep the optimizer from
+    evaluating the map expression again in inferred non-empty checks.
     """
     wanted = f"map_filter(OBSERVATION_BLOB, (k, v) -> {codes.one_of('k', types)})"
-    by_type = annotated.where("cardinality(OBSERVATION_BLOB) > 0").selectExpr(
+    by_type = annotated.selectExpr(
         "PATIENT_NUM AS patient_uuid", "ENCOUNTER_NUM AS encounter_uuid",
         f"{scalars.day('START_DATE')} AS note_date", *order,
-        f"posexplode({wanted}) AS (sem_pos, sem_type, mentions)",
+        f"posexplode_outer({wanted}) AS (sem_pos, sem_type, mentions)",
     )
     return by_type.selectExpr(
         "patient_uuid", "encounter_uuid", "note_date", *order, "sem_pos",
         f"{codes.lookup('sem_type', types)} AS resource_type",
-        "posexplode(mentions) AS (mention_pos, mention)",
-    ).withColumn("cui", F.expr("get(mention.conceptAttributes, 0).cui"))
+        "posexplode_outer(mentions) AS (mention_pos, mention)",
+    ).where("mention IS NOT NULL").withColumn(
+        "cui", F.expr("get(mention.conceptAttributes, 0).cui")
+    )
 
 
 def usable_mentions(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:

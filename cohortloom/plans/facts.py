@@ -24,15 +24,27 @@ def leaves(path: str, *names: str) -> str:
     return f"arrays_zip({', '.join(f'{path}.{name}' for name in names)})"
 
 
-def spread(df: DataFrame, columns: list[str], array: str, into: str | None = None) -> DataFrame:
-    """The columns, then one row per array item: as column ``into``, or its struct fields.
+def spread(df: DataFrame, columns: list[str], array: str, into: str) -> DataFrame:
+    """The columns, then one row per array item as column ``into``.
 
     Columns are projected to leaves and the array is built below the explode, so whole
     structs neither reach the scan nor the exploded rows.
     """
     below = df.selectExpr(*columns, f"{array} AS _items")
-    item = "inline(_items)" if into is None else f"explode(_items) AS {into}"
-    return below.selectExpr(*below.columns[:-1], item)
+    return below.selectExpr(*below.columns[:-1], f"explode(_items) AS {into}")
+
+
+def spread_structs(df: DataFrame, columns: list[str], array: str, key: str) -> DataFrame:
+    """The columns, then one row per struct of an array, its fields as columns.
+
+    ``key`` is a field that is never NULL. The outer generator with a filter behind it
+    gives the rows of the plain one; for the plain one the optimizer infers a non-empty
+    check and pushes it to the scan, where it evaluates the whole array expression twice
+    more for every row.
+    """
+    below = df.selectExpr(*columns, f"{array} AS _items")
+    rows = below.selectExpr(*below.columns[:-1], "inline_outer(_items)")
+    return rows.where(f"{key} IS NOT NULL")
 
 
 def note_encounters(documents: DataFrame) -> DataFrame:
@@ -177,7 +189,7 @@ def symptom_majority(
     observations: DataFrame, labels: Mapping[str, str] = fv.SYMPTOMS_B, system: str | None = fv.SNOMED
 ) -> DataFrame:
     """(encounter_id, symptoms) asserted more often than negated."""
-    rows = spread(observations, [ENCOUNTER], votes(labels, system))
+    rows = spread_structs(observations, [ENCOUNTER], votes(labels, system), "label")
     return (
         rows.groupBy("encounter_id", F.col("label").alias("symptoms"))
         .agg(F.sum("vote").alias("votes"))
@@ -189,7 +201,7 @@ def symptom_majority(
 def asserted_symptoms(observations: DataFrame, kept: Iterable[str]) -> DataFrame:
     """Distinct (subject_id, encounter_id, symptom_code) of asserted mentions."""
     own = {code: code for code in kept}
-    rows = spread(observations, [SUBJECT, ENCOUNTER], votes(own))
+    rows = spread_structs(observations, [SUBJECT, ENCOUNTER], votes(own), "label")
     return rows.where("vote = 1").selectExpr(
         "subject_id", "encounter_id", "label AS symptom_code"
     ).distinct()
@@ -233,7 +245,7 @@ def encounter_evidence(
             )
     facts = ", ".join(f"coalesce({p}, array())" for p in parts)
     placed = observations.where("encounter.reference_id_aa IS NOT NULL")
-    rows = spread(placed, [ENCOUNTER], f"concat({facts})")
+    rows = spread_structs(placed, [ENCOUNTER], f"concat({facts})", "kind")
     score = "vote" if majority else "CASE WHEN vote > 0 THEN 1 END"
     summed = rows.groupBy("encounter_id").agg(*[
         F.expr(f"sum(CASE WHEN kind = '{kind}' AND label = {text(label)} THEN {score} END) AS _{i}")
