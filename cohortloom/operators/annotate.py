@@ -19,17 +19,19 @@ from cohortloom.functions.codes import one_of
 
 def date_range(date: str) -> str:
     """(start, end) days covered by a partial date: year, month, or day and finer."""
-    padded = (
-        f"CASE WHEN length({date}) = 4 THEN concat({date}, '-01-01')"
-        f" WHEN length({date}) = 7 THEN concat({date}, '-01')"
-        f" WHEN length({date}) >= 10 THEN {scalars.day(date)} END"
-    )
-    start = scalars.parse_day(padded)
-    end = (
-        f"CASE length({date}) WHEN 4 THEN last_day(add_months({start}, 11))"
-        f" WHEN 7 THEN last_day({start}) ELSE {start} END"
+
+    def span(first: str, last: str) -> str:
+        return f"named_struct('start', CAST({first} AS STRING), 'end', CAST({last} AS STRING))"
+
+    january = f"try_cast(concat({date}, '-01-01') AS DATE)"
+    month = f"try_cast(concat({date}, '-01') AS DATE)"
+    day = f"try_cast(left({date}, 10) AS DATE)"
+    return (
+        f"CASE WHEN length({date}) >= 10 THEN {span(day, day)}"
+        f" WHEN length({date}) = 7 THEN {span(month, f'last_day({month})')}"
+        f" WHEN length({date}) = 4 THEN {span(january, f'last_day(add_months({january}, 11))')}"
+        f" ELSE {span('NULL', 'NULL')} END"
     )
-    return f"named_struct('start', CAST({start} AS STRING), 'end', CAST({end} AS STRING))"
 
 
 def trim_extension_path(path: str) -> str:
@@ -44,16 +46,21 @@ def trim_extension_path(path: str) -> str:
 _VALUES = [f.name for f in schemas.EXTENSION_VALUES]
 
 
-def flatten_extensions(extensions: str) -> str:
+def _plain_values(source: str) -> list[tuple[str, str]]:
+    return [(v, f"{source}{v}") for v in _VALUES]
+
+
+def flatten_extensions(extensions: str, values=_plain_values) -> str:
     """Nested extension arrays as one array of (url, parent, values).
 
     An outer element comes first, and only if it has a value of its own; its children
-    follow with ``parent`` set to its url. NULL stays NULL.
+    follow with ``parent`` set to its url. NULL stays NULL. ``values`` gives the value
+    fields of an element, so that further columns are made in the same pass.
     """
 
     def element(source: str, parent: str) -> str:
-        values = ", ".join(f"'{v}', {source}.{v}" for v in _VALUES)
-        return f"named_struct('url', {source}.url, 'parent', {parent}, {values})"
+        fields = ", ".join(f"'{name}', {v}" for name, v in values(f"{source}."))
+        return f"named_struct('url', {source}.url, 'parent', {parent}, {fields})"
 
     has_value = " OR ".join(f"o.{v} IS NOT NULL" for v in _VALUES)
     own = f"CASE WHEN {has_value} THEN array({element('o', 'CAST(NULL AS STRING)')}) ELSE array() END"
@@ -71,9 +78,10 @@ def _annotated(prefix: str, fields: list[T.StructField], parent_type: str, names
             continue
         struct = schemas.element_struct(field)
         if kind == "Extension":
-            value = flatten_extensions(value)
-            struct = T.StructType(schemas.FLAT_EXTENSION_FIELDS)
-        if struct is not None:
+            value = flatten_extensions(
+                value, lambda inner: _annotated(inner, schemas.EXTENSION_VALUES, "Extension", names)
+            )
+        elif struct is not None:
             many = isinstance(field.dataType, T.ArrayType)
             value = _rebuilt(value, struct.fields, kind, many, names)
         out.append((field.name, value))

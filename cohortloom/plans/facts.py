@@ -47,9 +47,14 @@ def spread_structs(df: DataFrame, columns: list[str], array: str, key: str) -> D
     return rows.where(f"{key} IS NOT NULL")
 
 
-def note_encounters(documents: DataFrame) -> DataFrame:
-    """(encounter_id, subject_id, enct_date): first note day of each noted encounter."""
-    columns = [SUBJECT, f"{scalars.day('date')} AS day"]
+def note_encounters(documents: DataFrame, parsed: bool = False) -> DataFrame:
+    """(encounter_id, subject_id, enct_date): first note day of each noted encounter.
+
+    The day is text; ``parsed`` gives a date, whose minimum is kept in a hash aggregation
+    where that of a text needs a sort.
+    """
+    day = scalars.day("date")
+    columns = [SUBJECT, f"{scalars.parse_day(day) if parsed else day} AS day"]
     rows = spread(documents, columns, "context.encounter.reference_id_aa", "encounter_id")
     return rows.groupBy("encounter_id", "subject_id").agg(F.min("day").alias("enct_date"))
 
@@ -138,6 +143,13 @@ def value_labels(positive: str, negative: str, default: str | None = None) -> st
     return f"transform({leaves('valueCodeableConcept.coding', 'system', 'code')}, v -> {label})"
 
 
+def _results(observations: DataFrame, labels: str, name: str) -> DataFrame:
+    columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
+    # Labels may be NULL, so a marker tells a label from an empty array.
+    items = f"transform({labels}, x -> named_struct('hit', true, '{name}', x))"
+    return spread_structs(observations, columns, items, "hit").drop("hit").distinct()
+
+
 def lab_results(
     observations: DataFrame,
     positive: str = "Positive",
@@ -146,8 +158,7 @@ def lab_results(
 ) -> DataFrame:
     """Distinct (subject_id, encounter_id, enct_date, covid_lab_test)."""
     labels = value_labels(positive, negative, default)
-    columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
-    return spread(observations.where(IS_LAB), columns, labels, "covid_lab_test").distinct()
+    return _results(observations.where(IS_LAB), labels, "covid_lab_test")
 
 
 def classifier_results(
@@ -158,10 +169,7 @@ def classifier_results(
 ) -> DataFrame:
     """Distinct (subject_id, encounter_id, enct_date, covid_classifier)."""
     labels = value_labels(positive, negative)
-    columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
-    return spread(
-        observations.where(is_classifier(tag)), columns, labels, "covid_classifier"
-    ).distinct()
+    return _results(observations.where(is_classifier(tag)), labels, "covid_classifier")
 
 
 def votes(

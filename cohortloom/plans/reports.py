@@ -128,10 +128,9 @@ def symptom_rows(
     Rows are made distinct before the profile join: when patients are counted, a patient
     with any number of encounters enters that join as a set bounded by the vocabularies.
     """
-    month = scalars.trunc_day("month", scalars.parse_day("enct_date"))
     encounters = (
-        facts.note_encounters(tables["documentreference"])
-        .withColumn("enct_date", F.expr(month)).where(window)
+        facts.note_encounters(tables["documentreference"], parsed=True)
+        .withColumn("enct_date", F.expr(scalars.trunc_day("month", "enct_date"))).where(window)
     )
     dx = (
         facts.with_code(tables["condition"])
@@ -250,10 +249,9 @@ def encounter_delays(tables: Tables) -> DataFrame:
     are made.
     """
     notes = (
-        facts.note_encounters(tables["documentreference"])
-        .withColumn("day", F.expr(scalars.parse_day("enct_date")))
+        facts.note_encounters(tables["documentreference"], parsed=True)
         .groupBy("encounter_id")
-        .agg(F.min("day").alias("first_note"), F.max("day").alias("last_note"))
+        .agg(F.min("enct_date").alias("first_note"), F.max("enct_date").alias("last_note"))
     )
 
     def extremes(rows: DataFrame, date: str, name: str) -> DataFrame:

@@ -81,6 +81,9 @@ def write_resource_lines(lines: DataFrame, path: str) -> None:
     lines.select("resourceType", "value").write.mode("overwrite").partitionBy("resourceType").text(path)
 
 
-def write_resources(resources: Mapping[str, DataFrame], path: str) -> None:
+def write_resources(
+    resources: Mapping[str, DataFrame], path: str, compression: str | None = None
+) -> None:
+    """One NDJSON folder per resource type."""
     for name, df in resources.items():
-        write_ndjson(df, f"{path.rstrip('/')}/resourceType={name}")
+        write_ndjson(df, f"{path.rstrip('/')}/resourceType={name}", compression)

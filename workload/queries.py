@@ -273,6 +273,22 @@ def mention_files(w: Warehouse) -> DataFrame:
     )
 
 
+@register(q.query(
+    f"SELECT {q.patient('p')} AS id, p AS patient_num, gender, CAST(birth AS VARCHAR) AS birth_year,"
+    " RACE_CD AS race_display, zip AS postal_code FROM pat"
+))
+def resource_files(w: Warehouse) -> DataFrame:
+    """Resources written as gzip NDJSON, fields without value left out, and read back."""
+    folder = shared_folder(w.spark)
+    ndjson.write_resources({"Patient": w.patient()}, folder, compression="gzip")
+    rows, _ = ndjson.read_ndjson(w.spark, f"{folder}/resourceType=Patient", schemas.RESOURCES["Patient"])
+    return rows.selectExpr(
+        "id", "identifier[0].value AS patient_num", "gender", "birthDate AS birth_year",
+        "extension[0].extension[0].valueCoding.display AS race_display",
+        "address[0].postalCode AS postal_code",
+    )
+
+
 @register(q.query(
     f"SELECT n.row_id, {q.patient()} AS patient_uuid, {q.encounter()} AS encounter_uuid, START_DATE AS start_date,"
     " CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS types, CAST(-l.toxic AS INTEGER) AS polarity"
