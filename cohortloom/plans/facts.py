@@ -143,11 +143,12 @@ def value_labels(positive: str, negative: str, default: str | None = None) -> st
     return f"transform({leaves('valueCodeableConcept.coding', 'system', 'code')}, v -> {label})"
 
 
-def _results(observations: DataFrame, labels: str, name: str) -> DataFrame:
+def _results(observations: DataFrame, labels: str, name: str, distinct: bool) -> DataFrame:
     columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
     # Labels may be NULL, so a marker tells a label from an empty array.
     items = f"transform({labels}, x -> named_struct('hit', true, '{name}', x))"
-    return spread_structs(observations, columns, items, "hit").drop("hit").distinct()
+    rows = spread_structs(observations, columns, items, "hit").drop("hit")
+    return rows.distinct() if distinct else rows
 
 
 def lab_results(
@@ -155,10 +156,14 @@ def lab_results(
     positive: str = "Positive",
     negative: str = "Negative",
     default: str | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
-    """Distinct (subject_id, encounter_id, enct_date, covid_lab_test)."""
+    """Distinct (subject_id, encounter_id, enct_date, covid_lab_test).
+
+    ``distinct=False`` spares the exchange when the caller reduces the rows anyway.
+    """
     labels = value_labels(positive, negative, default)
-    return _results(observations.where(IS_LAB), labels, "covid_lab_test")
+    return _results(observations.where(IS_LAB), labels, "covid_lab_test", distinct)
 
 
 def classifier_results(
@@ -166,10 +171,11 @@ def classifier_results(
     tag: int | str = fv.CLASSIFIER_202204,
     positive: str = "Positive",
     negative: str = "Negative",
+    distinct: bool = True,
 ) -> DataFrame:
     """Distinct (subject_id, encounter_id, enct_date, covid_classifier)."""
     labels = value_labels(positive, negative)
-    return _results(observations.where(is_classifier(tag)), labels, "covid_classifier")
+    return _results(observations.where(is_classifier(tag)), labels, "covid_classifier", distinct)
 
 
 def votes(

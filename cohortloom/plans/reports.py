@@ -32,17 +32,41 @@ SYMPTOM_DIMS_8 = [*SYMPTOM_DIMS_6, "covid_lab_test", "covid_classifier"]
 # --- result by week (R1) ---------------------------------------------------------------
 
 
+def _per_encounter(results: DataFrame, label: str, name: str) -> DataFrame:
+    """One row per encounter and subject with its distinct (day, label) pairs.
+
+    The sets are combined before the exchange and bounded by days times labels.
+    """
+    pairs = results.selectExpr(
+        "encounter_id", "subject_id",
+        f"named_struct('day', {scalars.day('enct_date')}, 'label', {label}) AS pair",
+    )
+    return pairs.groupBy("encounter_id", "subject_id").agg(F.collect_set("pair").alias(name))
+
+
 def lab_classifier(lab: DataFrame, classifier: DataFrame) -> DataFrame:
     """Full outer join of lab and classifier results per encounter and subject.
 
     The method and result columns follow the three-valued logic of the source: a missing
     lab result makes every comparison with it NULL, so classifier-only rows are Unknown.
+    Both sides enter as one row per key. A dated lab result takes its own day, so it meets
+    each classifier label once and not each classifier row: the rows of a key grow with
+    its results, not with their product.
     """
     keys = ["encounter_id", "subject_id"]
-    both = lab.select(*keys, F.col("enct_date").alias("l_date"), "covid_lab_test").join(
-        classifier.select(*keys, F.col("enct_date").alias("c_date"), "covid_classifier"),
-        keys, "full",
+    both = _per_encounter(lab, "covid_lab_test", "l").join(
+        _per_encounter(classifier, "covid_classifier", "c"), keys, "full"
+    )
+    labels = "transform(array_distinct(c.label), z -> named_struct('day', CAST(NULL AS STRING), 'label', z))"
+    nothing = "array(named_struct('day', CAST(NULL AS STRING), 'label', CAST(NULL AS STRING)))"
+    pair = (
+        "named_struct('enct_date', coalesce(x.day, y.day), 'covid_lab_test', x.label,"
+        " 'covid_classifier', y.label)"
     )
+    other = "CASE WHEN c IS NULL OR x.day IS NULL THEN all_c ELSE labels END"
+    rows = both.selectExpr(
+        *keys, f"coalesce(l, {nothing}) AS l", "c", f"coalesce(c, {nothing}) AS all_c", f"{labels} AS labels"
+    ).selectExpr(*keys, f"inline(flatten(transform(l, x -> transform({other}, y -> {pair}))))")
     lab_known = "covid_lab_test IN ('Positive', 'Negative')"
     lab_unknown = "covid_lab_test NOT IN ('Positive', 'Negative')"
     cls_known = "covid_classifier IN ('Positive', 'Negative')"
@@ -56,9 +80,8 @@ def lab_classifier(lab: DataFrame, classifier: DataFrame) -> DataFrame:
         f"CASE WHEN {lab_known} THEN covid_lab_test"
         f" WHEN {lab_unknown} AND {cls_known} THEN covid_classifier ELSE 'Unavailable' END"
     )
-    return both.where("covid_lab_test IS NOT NULL OR covid_classifier IS NOT NULL").selectExpr(
-        *keys, f"{scalars.day('coalesce(l_date, c_date)')} AS enct_date",
-        f"{method} AS test_method", f"{result} AS covid_result",
+    return rows.where("covid_lab_test IS NOT NULL OR covid_classifier IS NOT NULL").selectExpr(
+        *keys, "enct_date", f"{method} AS test_method", f"{result} AS covid_result"
     )
 
 
@@ -72,8 +95,8 @@ def covid_result_rows(
     """
     observations = tables["observation"]
     joined = lab_classifier(
-        _by_day(facts.lab_results(observations, default="Unknown")),
-        _by_day(facts.classifier_results(observations, classifier_tag)),
+        facts.lab_results(observations, default="Unknown", distinct=False),
+        facts.classifier_results(observations, classifier_tag, distinct=False),
     )
     dx = facts.diagnoses(tables["condition"])
     if positional_union:
@@ -87,11 +110,6 @@ def covid_result_rows(
     )
 
 
-def _by_day(results: DataFrame) -> DataFrame:
-    """Results by day instead of by moment, which the reports do not tell apart."""
-    return results.withColumn("enct_date", F.expr(scalars.day("enct_date"))).distinct()
-
-
 def covid_result_cube(
     tables: Tables, as_of, year: int = 2021, classifier_tag: int | str = 1,
     positional_union: bool = False,
