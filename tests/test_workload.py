@@ -45,3 +45,16 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns[-1] == "cnt" and df.count() > 0
+
+
+def test_stored_tables(spark):
+    from workload.shapes import Warehouse
+
+    tables = Warehouse(spark, SF_DIR).tables
+    assert set(tables) == {"patient", "condition", "observation", "documentreference", "encounter"}
+    documents = tables["documentreference"]
+    assert documents.count() > 0 and documents.where("content IS NOT NULL").count() == 0
+    assert tables["observation"].where("modifierExtension IS NULL").count() > 0
+    assert tables["observation"].where("size(modifierExtension) = 0").count() == 0
+    # Identifiers differ in letter case between the reports' text and the tables.
+    assert documents.select("CONTEXT.Encounter").count() == documents.count()
