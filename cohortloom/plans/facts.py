@@ -143,12 +143,11 @@ def value_labels(positive: str, negative: str, default: str | None = None) -> st
     return f"transform({leaves('valueCodeableConcept.coding', 'system', 'code')}, v -> {label})"
 
 
-def _results(observations: DataFrame, labels: str, name: str, distinct: bool) -> DataFrame:
+def _results(observations: DataFrame, labels: str, name: str) -> DataFrame:
     columns = [SUBJECT, ENCOUNTER, "effectiveDateTime AS enct_date"]
     # Labels may be NULL, so a marker tells a label from an empty array.
     items = f"transform({labels}, x -> named_struct('hit', true, '{name}', x))"
-    rows = spread_structs(observations, columns, items, "hit").drop("hit")
-    return rows.distinct() if distinct else rows
+    return spread_structs(observations, columns, items, "hit").drop("hit").distinct()
 
 
 def lab_results(
@@ -156,14 +155,10 @@ def lab_results(
     positive: str = "Positive",
     negative: str = "Negative",
     default: str | None = None,
-    distinct: bool = True,
 ) -> DataFrame:
-    """Distinct (subject_id, encounter_id, enct_date, covid_lab_test).
-
-    ``distinct=False`` spares the exchange when the caller reduces the rows anyway.
-    """
+    """Distinct (subject_id, encounter_id, enct_date, covid_lab_test)."""
     labels = value_labels(positive, negative, default)
-    return _results(observations.where(IS_LAB), labels, "covid_lab_test", distinct)
+    return _results(observations.where(IS_LAB), labels, "covid_lab_test")
 
 
 def classifier_results(
@@ -171,11 +166,40 @@ def classifier_results(
     tag: int | str = fv.CLASSIFIER_202204,
     positive: str = "Positive",
     negative: str = "Negative",
-    distinct: bool = True,
 ) -> DataFrame:
     """Distinct (subject_id, encounter_id, enct_date, covid_classifier)."""
     labels = value_labels(positive, negative)
-    return _results(observations.where(is_classifier(tag)), labels, "covid_classifier", distinct)
+    return _results(observations.where(is_classifier(tag)), labels, "covid_classifier")
+
+
+def result_sets(
+    observations: DataFrame, tag: int | str, lab_default: str = "Unknown"
+) -> DataFrame:
+    """(encounter_id, subject_id, l, c): distinct (day, label) results per encounter and subject.
+
+    The full outer join of ``lab_results`` and ``classifier_results`` as one scan and one
+    exchange; a side without results is NULL.
+    """
+    day = scalars.day("effectiveDateTime")
+
+    def items(kind: str, condition: str, labels: str) -> str:
+        item = f"named_struct('kind', '{kind}', 'day', {day}, 'label', x)"
+        return f"coalesce(CASE WHEN {condition} THEN transform({labels}, x -> {item}) END, array())"
+
+    lab = items("l", IS_LAB, value_labels("Positive", "Negative", lab_default))
+    classifier = items("c", is_classifier(tag), value_labels("Positive", "Negative"))
+    rows = spread_structs(observations, [ENCOUNTER, SUBJECT], f"concat({lab}, {classifier})", "kind")
+
+    def found(kind: str):
+        pair = f"IF(kind = '{kind}', named_struct('day', day, 'label', label), NULL)"
+        return F.expr(f"collect_set({pair}) AS {kind}")
+
+    # Rows without a full key match nothing, so their two kinds stay apart.
+    apart = F.expr("IF(encounter_id IS NULL OR subject_id IS NULL, kind, '') AS apart")
+    sets = rows.groupBy("encounter_id", "subject_id", apart).agg(found("l"), found("c"))
+    return sets.selectExpr(
+        "encounter_id", "subject_id", "IF(size(l) > 0, l, NULL) AS l", "IF(size(c) > 0, c, NULL) AS c"
+    )
 
 
 def votes(

@@ -53,10 +53,14 @@ def lab_classifier(lab: DataFrame, classifier: DataFrame) -> DataFrame:
     each classifier label once and not each classifier row: the rows of a key grow with
     its results, not with their product.
     """
+    return _paired(_per_encounter(lab, "covid_lab_test", "l").join(
+        _per_encounter(classifier, "covid_classifier", "c"), ["encounter_id", "subject_id"], "full"
+    ))
+
+
+def _paired(both: DataFrame) -> DataFrame:
+    """Method and result rows of the joined sets ``l`` and ``c``, either of them NULL."""
     keys = ["encounter_id", "subject_id"]
-    both = _per_encounter(lab, "covid_lab_test", "l").join(
-        _per_encounter(classifier, "covid_classifier", "c"), keys, "full"
-    )
     labels = "transform(array_distinct(c.label), z -> named_struct('day', CAST(NULL AS STRING), 'label', z))"
     nothing = "array(named_struct('day', CAST(NULL AS STRING), 'label', CAST(NULL AS STRING)))"
     pair = (
@@ -94,10 +98,7 @@ def covid_result_rows(
     exchanged, as the original report did.
     """
     observations = tables["observation"]
-    joined = lab_classifier(
-        facts.lab_results(observations, default="Unknown", distinct=False),
-        facts.classifier_results(observations, classifier_tag, distinct=False),
-    )
+    joined = _paired(facts.result_sets(observations, classifier_tag))
     dx = facts.diagnoses(tables["condition"])
     if positional_union:
         swapped = dx.select("subject_id", "encounter_id", "enct_date", "test_method", "covid_result")
