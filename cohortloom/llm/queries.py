@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact_dedup, sharding, simhash_dedup
+from cohortloom.llm import decontaminate, exact_dedup, html_text, sharding, simhash_dedup, url_filter
 from cohortloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(documents(spark, sf_dir, "pages"), url_filter.RULES)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
@@ -31,6 +43,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_decontamination": op3_decontamination,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_url_filters": op6_url_filters,
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
