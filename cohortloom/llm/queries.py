@@ -4,15 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, exact_dedup, html_text, sharding, simhash_dedup, url_filter
+from cohortloom.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, url_filter
 from cohortloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(language_id.fold("doc_id", 3) == 1, F.lit(False))
+    model = language_id.fit(docs, ~held_out)
+    return language_id.identify(docs, model).withColumn("held_out", held_out)
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Encodes and decodes every text; ids and bytes as digests."""
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(docs, path, pattern).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "ids")
+    return byte_bpe.decode(encoded, path, pattern).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -43,6 +65,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_decontamination": op3_decontamination,
     "op5_html_extraction": op5_html_extraction,
     "op6_url_filters": op6_url_filters,
