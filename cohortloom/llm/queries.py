@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, url_filter
-from cohortloom.llm.common import documents
+from cohortloom.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, token_files, toxicity, url_filter
+from cohortloom.llm.common import documents, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,20 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on the labels of the documents that aren't held out."""
+    learn = F.coalesce(language_id.fold("doc_id", 4) != 2, F.lit(False))
+    return toxicity.fit(docs, documents(spark, sf_dir, "labels"), learn)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score_texts(docs, toxicity_model(spark, docs, sf_dir))
+    held_out = F.coalesce(language_id.fold("doc_id", 4) == 2, F.lit(False))
+    return scored.withColumn("held_out", held_out).withColumn(
+        "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -47,6 +61,13 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(documents(spark, sf_dir, "pages"), url_filter.RULES)
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark)
+    token_files.write_ids(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_ids(spark, folder).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
@@ -68,8 +89,10 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_decontamination": op3_decontamination,
+    "op4_toxicity": op4_toxicity,
     "op5_html_extraction": op5_html_extraction,
     "op6_url_filters": op6_url_filters,
+    "op7_token_files": op7_token_files,
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
