@@ -24,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,10 @@ OVERLAP = 0.8
 #: Items in a block of the index, and items in an index.
 BLOCK_ITEMS = 16
 CHUNK_ITEMS = 4000
-#: Passages handled at a time.
+#: Passages handled and scored at a time, and words of text.
 BATCH_PASSAGES = 4096
+SCORED_PASSAGES = 256
+GROUP_WORDS = 200_000
 
 WORD = re.compile(r"[^\W_]+")
 ANSWER = re.compile(r"\banswer\s*:", re.I)
@@ -121,7 +124,7 @@ def build_index(rows: list[tuple[int, str]], block_items: int = BLOCK_ITEMS) ->
         terms, [item for _, item, _ in parsed], max(len(x[0]) for x in parsed),
         np.concatenate(([0], np.cumsum([len(p) for p in postings]))),
         np.array([k for p in postings for k, _ in p], np.int64), np.array([x for p in postings for _, x in p]),
-        block_max.max(axis=1).astype(np.float64), block_max.astype(np.float64) + 1e-9,
+        block_max.max(axis=1).astype(np.float64), block_max + np.float32(1e-7) * (block_max > 0),
         [shingles(as_terms(words)) for words, _, _ in parsed],
         [set(as_terms(q)) for q, _ in pairs], [set(as_terms(a)) for _, a in pairs],
     )
@@ -139,9 +142,7 @@ def candidates(index: Index, terms: np.ndarray, starts: np.ndarray, ends: np.nda
     found = []
     for at in range(0, len(live), BATCH_PASSAGES):
         passages = live[at:at + BATCH_PASSAGES]
-        width = ends[passages] - starts[passages]
-        owner = np.repeat(np.arange(len(passages)), width)
-        place = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(starts[passages], width)
+        owner, place = _spans(starts[passages], ends[passages])
         term = terms[place]
         known = term >= 0
         pair = np.unique(owner[known] * len(index.terms) + term[known])  # distinct terms of a passage
@@ -152,33 +153,56 @@ def candidates(index: Index, terms: np.ndarray, starts: np.ndarray, ends: np.nda
         if not len(owner):
             continue
         first = np.concatenate(([0], np.nonzero(np.diff(owner))[0] + 1))
-        blocks = np.add.reduceat(index.block_max[term], first, axis=0)
-        row, block = np.nonzero(blocks >= share - 1e-6)
         last = np.concatenate((first[1:], [len(owner)]))
-        for r in np.unique(row):
-            score = np.zeros(len(index.items))
-            for t in term[first[r]:last[r]]:
-                span = slice(index.offsets[t], index.offsets[t + 1])
-                score[index.posting_item[span]] += index.posting_impact[span]
-            inside = np.isin(np.arange(len(index.items)) // block_items, block[row == r])
-            for item in np.nonzero(inside & (score >= share))[0]:
-                found.append((int(passages[owner[first[r]]]), int(item), float(score[item])))
+        blocks = np.add.reduceat(index.block_max[term], first, axis=0) >= share - 1e-4
+        rows = np.nonzero(blocks.any(axis=1))[0]
+        for part in range(0, len(rows), SCORED_PASSAGES):
+            some = rows[part:part + SCORED_PASSAGES]
+            of_row, at_term = _spans(first[some], last[some])
+            of_term, at_posting = _spans(index.offsets[term[at_term]], index.offsets[term[at_term] + 1])
+            cell = of_row[of_term] * len(index.items) + index.posting_item[at_posting]
+            score = np.bincount(cell, index.posting_impact[at_posting], len(some) * len(index.items)).reshape(len(some), -1)
+            inside = np.repeat(blocks[some], block_items, axis=1)[:, : len(index.items)]
+            for r, item in zip(*np.nonzero(inside & (score >= share))):
+                found.append((int(passages[owner[first[some[r]]]]), int(item), float(score[r, item])))
     return found
 
 
+def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For spans of places: the span of each place, and the places."""
+    width = ends - starts
+    owner = np.repeat(np.arange(len(starts)), width)
+    return owner, np.arange(len(owner)) + np.repeat(starts - np.cumsum(width) + width, width)
+
+
 def windows(n: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
     starts = np.arange(0, max(1, n - longest), longest)
     return starts, np.minimum(starts + 2 * longest, n)
 
 
-def matches(index: Index, text: str, share: float = SCORE_SHARE, overlap: float = OVERLAP):
-    """(item number, score, shingle, question and answer overlap) of each verified item, once."""
-    words = words_of(text)
-    if not words:
-        return []
-    terms = np.fromiter((index.terms.get(w, -1) for w in words), np.int64, len(words))
-    starts, ends = windows(len(words), index.longest)
-    best: dict[int, tuple] = {}
+def matches(index: Index, texts: Iterable[str], share: float = SCORE_SHARE, overlap: float = OVERLAP) -> Iterator[list[tuple]]:
+    """Per text: (item number, score, shingle, question and answer overlap) of each verified item, once."""
+    held: list[np.ndarray] = []
+    for text in texts:
+        words = words_of(text)
+        held.append(np.fromiter(map(index.terms.get, words, repeat(-1)), np.int64, len(words)))
+        if sum(map(len, held)) >= GROUP_WORDS or len(held) == 1000:
+            yield from _group_matches(index, held, share, overlap)
+            held = []
+    yield from _group_matches(index, held, share, overlap)
+
+
+def _group_matches(index: Index, texts: list[np.ndarray], share: float, overlap: float) -> list[list[tuple]]:
+    best: list[dict[int, tuple]] = [{} for _ in texts]
+    filled = [k for k, terms in enumerate(texts) if len(terms)]
+    if not filled:
+        return [[] for _ in texts]
+    terms = np.concatenate(texts)
+    begin = np.cumsum([0, *map(len, texts)])
+    cut = [windows(len(texts[k]), index.longest) for k in filled]
+    owner = np.repeat(filled, [len(a) for a, _ in cut])
+    starts = np.concatenate([a for a, _ in cut]) + begin[owner]
+    ends = np.concatenate([b for _, b in cut]) + begin[owner]
     for passage, item, score in candidates(index, terms, starts, ends, share):
         inside = terms[starts[passage]:ends[passage]].tolist()
         own, wanted = set(inside), index.item_shingles[item]
@@ -187,8 +211,9 @@ def matches(index: Index, text: str, share: float = SCORE_SHARE, overlap: float
         of = lambda part: len(part & own) / len(part) if part else 1.0
         question, answer = of(index.questions[item]), of(index.answers[item])
         if min(shared, question, answer) >= overlap:
-            best[item] = max(best.get(item, (0.0,) * 4), (shared, question, answer, score))
-    return [(item, b[3], *b[:3]) for item, b in sorted(best.items())]
+            found = best[owner[passage]]
+            found[item] = max(found.get(item, (0.0,) * 4), (shared, question, answer, score))
+    return [[(item, b[3], *b[:3]) for item, b in sorted(found.items())] for found in best]
 
 
 # --- on Spark ----------------------------------------------------------------------------
@@ -221,7 +246,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                rows = [(k, index.items[m[0]], *m[1:]) for k, text in enumerate(batch.column(1)) for m in matches(index, text.as_py())]
+                texts = (text.as_py() for text in batch.column(1))
+                rows = [(k, index.items[m[0]], *m[1:]) for k, found in enumerate(matches(index, texts)) for m in found]
                 columns = list(zip(*rows)) if rows else [()] * 6
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], ITEM_TYPES.get(item_kind)),
@@ -247,8 +273,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         def clean(batches: Iterable[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array(
-                    [not matches(shared.value, t.as_py() or "") for t in batch.column(at)], pa.bool_()))
+                texts = (text.as_py() or "" for text in batch.column(at))
+                yield batch.filter(pa.array([not found for found in matches(shared.value, texts)], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
     return docs
