@@ -33,24 +33,36 @@ from cohortloom.llm.common import text_of
 TEXT_CHARS = 2_000_000
 WORD_BYTES = 400_000
 DECODE_TOKENS = 500_000
-#: Encoded words that a worker keeps between texts and partitions.
-KEPT_WORDS = 400_000
+#: Encoded words that a worker keeps between texts and partitions, in two generations: words
+#: met again move to the younger one, and a full one pushes the older one out.
+KEPT_WORDS = 1_000_000
 #: Words of more bytes contract all pairs of their smallest rank at once.
 LONG_WORD = 64
 
-# One contraction per word and round: the leftmost pair of the smallest rank.
+# One contraction per word and round: the leftmost pair of the smallest rank. Each row holds
+# its right neighbour and the rank of both joined. A contraction changes its own row and its
+# left neighbour's, so just these two meet the merge table again. Positions fit a byte.
 SHORT_WORDS = """
-WITH RECURSIVE state(w, pos, tok, next, done) AS (
-  SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), false FROM start
+WITH RECURSIVE state(w, pos, tok, npos, ntok, merged, done) AS (
+  SELECT w, pos, tok, npos, ntok, g.merged, false
+  FROM (
+    SELECT w, pos, tok, lead(pos) OVER near AS npos, lead(tok) OVER near AS ntok
+    FROM start WINDOW near AS (PARTITION BY w ORDER BY pos))
+  LEFT JOIN merges g ON g.pair = ((tok::BIGINT << 32) | ntok)
   UNION ALL (
-    WITH ranked AS (
-      SELECT s.w, s.pos, s.tok, g.merged FROM state s LEFT JOIN merges g ON g.pair = ((s.tok::BIGINT << 32) | s.next) WHERE NOT s.done),
-    best AS (SELECT w, min((merged::BIGINT << 32) | pos) AS b FROM ranked WHERE merged IS NOT NULL GROUP BY w),
-    cut AS (
-      SELECT r.w, r.pos, CASE WHEN r.pos = (b & 4294967295) THEN r.merged ELSE r.tok END AS tok, b IS NULL AS done,
-             min(CASE WHEN r.pos > (b & 4294967295) THEN r.pos END) OVER (PARTITION BY r.w) AS eaten
-      FROM ranked r LEFT JOIN best USING (w))
-    SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), done FROM cut WHERE eaten IS NULL OR pos <> eaten))
+    WITH best AS (SELECT w, min((merged::BIGINT << 16) | (pos << 8) | npos) AS b FROM state WHERE NOT done GROUP BY w),
+    tagged AS MATERIALIZED (
+      SELECT s.*, b IS NULL AS final, b >> 16 AS rank, (b >> 8) & 255 AS spot, b & 255 AS gone
+      FROM state s JOIN best USING (w) WHERE NOT s.done),
+    eaten AS (SELECT w, spot, npos, ntok FROM tagged WHERE pos = gone),
+    made AS (
+      SELECT t.w, t.pos, t.merged, t.final, e.w IS NOT NULL OR coalesce(t.npos = t.spot, false) AS fresh,
+        CASE WHEN e.w IS NOT NULL THEN t.rank ELSE t.tok END AS tok,
+        CASE WHEN e.w IS NOT NULL THEN e.npos ELSE t.npos END AS npos,
+        CASE WHEN e.w IS NOT NULL THEN e.ntok WHEN t.npos = t.spot THEN t.rank ELSE t.ntok END AS ntok
+      FROM tagged t LEFT JOIN eaten e ON e.w = t.w AND e.spot = t.pos WHERE t.final OR t.pos <> t.gone)
+    SELECT w, pos, tok::INT, npos, ntok::INT, CASE WHEN fresh THEN g.merged ELSE m.merged END, final
+    FROM made m LEFT JOIN merges g ON g.pair = CASE WHEN fresh THEN (m.tok::BIGINT << 32) | m.ntok END))
 SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w"""
 
 # The same for long words: in a run of overlapping pairs every second one is contracted.
@@ -86,7 +98,9 @@ class Engine:
     """One DuckDB connection with the merge table and vocabulary of a rank file."""
 
     def __init__(self, path: str, pattern: str) -> None:
-        self.ranks, self.pattern, self.kept = read_ranks(path), regex.compile(pattern), {}
+        self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.decimal = {rank: str(rank) for rank in self.ranks.values()}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
@@ -146,9 +160,12 @@ class Engine:
         """Ids of each text, as bytes of 32-bit integers."""
         words = [self.pattern.findall(text) for text in texts]
         new = set().union(*words)
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept = {}
-        self.learn(sorted(new.difference(self.kept)))
+        if len(self.kept) + len(new) > KEPT_WORDS // 2:
+            self.older, self.kept = self.kept, {}
+        new.difference_update(self.kept)
+        again = new.intersection(self.older)
+        self.kept.update(zip(again, map(self.older.__getitem__, again)))
+        self.learn(sorted(new.difference(again)))
         return [b"".join(map(self.kept.__getitem__, found)) for found in words]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
