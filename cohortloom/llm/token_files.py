@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -37,11 +38,11 @@ from pyspark.sql import functions as F
 from cohortloom.llm.common import text_of
 
 MAGIC = b"TIDS1"
-BLOCK_IDS = 4096
+BLOCK_IDS = 2048
 #: Ids after which a segment ends with its document.
 SEGMENT_IDS = 3_000_000
 #: Slots of a block's order-2 table.
-PAIRS = 4096
+PAIRS = 2048
 #: What one occurrence adds to a frequency or outcome, the bound at which outcomes are halved,
 #: and how often a block's frequencies are summed anew.
 GAIN, LIMIT, RENEW = 32, 4096, 64
@@ -63,7 +64,9 @@ class Mixer:
         start[:, 3] = start[:, :3].sum(axis=1)
         self.outcomes = np.tile(start, (self.lanes, 1))
         self.counts = (np.arange(self.width)[None, :] < sizes[:, None]).astype(np.int32)
-        self.sums = np.zeros((self.lanes, self.width + 1), np.int32)
+        # Running sums, shifted lane by lane, so that all lanes make one ascending array.
+        self.shift = lane.astype(np.int64) << 32
+        self.sums = np.zeros((self.lanes, self.width + 1), np.int64)
         self.at_one, self.at_two, self.at_outcome = lane * self.width, lane * PAIRS, lane * 32
         self.at_count, self.at_sum = lane * self.width, lane * (self.width + 1)
         self.last = np.zeros(self.lanes, np.int64)
@@ -73,7 +76,10 @@ class Mixer:
     def predict(self, n: int):
         """Of the first n lanes: predictions of order 2 and 1, and the bounds of the three outcomes."""
         if self.step % RENEW == 0 or self.step in (4, 8, 16, 32):
-            np.cumsum(self.counts[:n], axis=1, out=self.sums[:n, 1:])
+            self.sums[:, 0] = self.shift
+            np.cumsum(self.counts, axis=1, out=self.sums[:, 1:])
+            self.sums[:, 1:] += self.shift[:, None]
+            self.whole = (self.sums[:, -1] - self.shift).astype(np.uint64)
         self.step += 1
         self.place1, self.place2 = self.at_one[:n] + self.last[:n], self.at_two[:n] + self.pair[:n]
         self.state1, self.state2 = self.one[self.place1], self.two[self.place2]
@@ -108,16 +114,15 @@ class Mixer:
 class Encoder:
     def __init__(self, lanes: int, words: int) -> None:
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 48) - 1, np.uint64)
-        self.words, self.used = np.zeros((lanes, words + 4), np.int64), np.zeros(lanes, np.int64)
+        self.words, self.used = np.zeros((lanes, words + 4), np.int32), np.zeros(lanes, np.int64)
 
-    def put(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, total) -> None:
-        """Narrow the lanes' ranges to [start, start + size) of total; each emits at most one word."""
-        unit = (self.range[lanes] / total).astype(np.uint64)
+    def put(self, lanes, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow the lanes' ranges to size units from start; each emits at most one word."""
         low, width = self.low[lanes] + unit * start, unit * size
-        short = width < FLOOR
-        if short.any():
-            out = lanes[short]
-            self.words[out, self.used[out]] = (low[short] >> THIRTY_TWO).astype(np.int64)
+        short = np.nonzero(width < FLOOR)[0]
+        if len(short):
+            out = short if isinstance(lanes, slice) else lanes[short]
+            self.words[out, self.used[out]] = (low[short] >> THIRTY_TWO).astype(np.int32)
             self.used[out] += 1
             low[short] = (low[short] & LOW) << SIXTEEN
             width[short] <<= SIXTEEN
@@ -127,7 +132,7 @@ class Encoder:
         """The lanes' words, carries settled from the back."""
         lane = np.arange(len(self.low))
         for _ in range(3):
-            self.words[lane, self.used] = (self.low >> THIRTY_TWO).astype(np.int64)
+            self.words[lane, self.used] = (self.low >> THIRTY_TWO).astype(np.int32)
             self.used += 1
             self.low = (self.low & LOW) << SIXTEEN
         for k in range(int(self.used.max()) - 1, 0, -1):
@@ -146,15 +151,15 @@ class Decoder:
         self.used = np.full(len(blocks), 3)
         self.range = np.full(len(blocks), (1 << 48) - 1, np.uint64)
 
-    def value(self, lanes: np.ndarray, total) -> np.ndarray:
-        self.unit = (self.range[lanes] / total).astype(np.uint64)
-        return np.minimum((self.code[lanes] / self.unit).astype(np.uint64), np.uint64(1) * total - np.uint64(1))
+    def value(self, lanes, unit: np.ndarray, total) -> np.ndarray:
+        self.unit = unit
+        return np.minimum((self.code[lanes] / unit).astype(np.uint64), total - np.uint64(1))
 
-    def take(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    def take(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
         code, width = self.code[lanes] - self.unit * start, self.unit * size
-        short = width < FLOOR
-        if short.any():
-            source = lanes[short]
+        short = np.nonzero(width < FLOOR)[0]
+        if len(short):
+            source = short if isinstance(lanes, slice) else lanes[short]
             at = np.minimum(self.used[source], self.words.shape[1] - 1)  # damaged blocks may run out
             code[short] = (code[short] << SIXTEEN) | self.words[source, at]
             self.used[source] += 1
@@ -163,8 +168,11 @@ class Decoder:
 
 
 def _outcome_span(outcome, first, second):
-    start = np.where(outcome == 0, np.uint64(0), np.where(outcome == 1, first, second))
-    end = np.where(outcome == 0, first, np.where(outcome == 1, second, np.uint64(TOTAL)))
+    start = (outcome > 0) * first
+    start[outcome == 2] = second[outcome == 2]
+    end = np.where(outcome == 0, first, np.uint64(TOTAL))
+    one = outcome == 1
+    end[one] = second[one]
     return start, end - start
 
 
@@ -182,18 +190,18 @@ def pack_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> list[tuple[np.nd
     for k, places in enumerate(local):
         table[: len(places), k] = places
     mixer, coder = Mixer(np.array([len(x) for x in known])), Encoder(len(lengths), 2 * max(lengths))
-    total = np.uint64(TOTAL)
-    lanes = np.arange(len(lengths))
+    sums = mixer.sums.reshape(-1)
     for t in range(max(lengths)):
         n = len(lengths) if t < lengths[-1] else len(lengths) - 1  # only the last block is short
-        wanted = table[t, :n]
+        lanes, wanted = slice(0, n), table[t, :n]
         guess2, guess1, first, second = mixer.predict(n)
         outcome = np.where(guess2 == wanted, 0, np.where(guess1 == wanted, 1, 2))
-        coder.put(lanes[:n], *_outcome_span(outcome, first, second), total)
+        coder.put(lanes, coder.range[lanes] >> SIXTEEN, *_outcome_span(outcome, first, second))
         new = np.nonzero(outcome == 2)[0]
-        sums, at = mixer.sums.reshape(-1), mixer.at_sum[new]
-        start, end = sums[at + wanted[new]], sums[at + wanted[new] + 1]
-        coder.put(new, start.astype(np.uint64), (end - start).astype(np.uint64), sums[at + mixer.width].astype(np.uint64))
+        at = mixer.at_sum[new] + wanted[new]
+        start, end = sums[at], sums[at + 1]
+        unit = (coder.range[new] / mixer.whole[new]).astype(np.uint64)
+        coder.put(new, unit, (start - mixer.shift[new]).astype(np.uint64), (end - start).astype(np.uint64))
         mixer.update(wanted, outcome)
     return list(zip(known, coder.done()))
 
@@ -205,27 +213,23 @@ def unpack_blocks(blocks: list[tuple[np.ndarray, bytes]], n_ids: int, block_ids:
     known, coded = zip(*blocks)
     mixer, coder = Mixer(np.array([len(x) for x in known])), Decoder(list(coded))
     table = np.zeros((max(lengths), len(lengths)), np.int64)
-    total, lanes = np.uint64(TOTAL), np.arange(len(lengths))
-    halvings = max(1, int(mixer.width).bit_length())
+    total, sums = np.uint64(TOTAL), mixer.sums.reshape(-1)
     for t in range(max(lengths)):
         n = len(lengths) if t < lengths[-1] else len(lengths) - 1
+        lanes = slice(0, n)
         guess2, guess1, first, second = mixer.predict(n)
-        value = coder.value(lanes[:n], total)
-        outcome = np.where(value < first, 0, np.where(value < second, 1, 2))
-        coder.take(lanes[:n], *_outcome_span(outcome, first, second))
+        value = coder.value(lanes, coder.range[lanes] >> SIXTEEN, total)
+        outcome = (value >= first).astype(np.int64) + (value >= second)
+        coder.take(lanes, *_outcome_span(outcome, first, second))
         ids = np.where(outcome == 0, guess2, guess1).astype(np.int64)
         new = np.nonzero(outcome == 2)[0]
         if len(new):
-            sums, at = mixer.sums.reshape(-1), mixer.at_sum[new]
-            value = coder.value(new, sums[at + mixer.width].astype(np.uint64)).astype(np.int64)
-            low, high = np.zeros(len(new), np.int64), np.full(len(new), mixer.width, np.int64)
-            for _ in range(halvings):  # last place whose sum is at most the value
-                middle = (low + high) >> 1
-                right = sums[at + middle] <= value
-                low, high = np.where(right, middle, low), np.where(right, high, middle)
-            start, end = sums[at + low], sums[at + low + 1]
-            coder.take(new, start.astype(np.uint64), (end - start).astype(np.uint64))
-            ids[new] = low
+            whole, shift = mixer.whole[new], mixer.shift[new]
+            value = coder.value(new, (coder.range[new] / whole).astype(np.uint64), whole).astype(np.int64)
+            at = np.searchsorted(sums, value + shift, "right") - 1
+            start, end = sums[at], sums[at + 1]
+            coder.take(new, (start - shift).astype(np.uint64), (end - start).astype(np.uint64))
+            ids[new] = at - mixer.at_sum[new]
         mixer.update(ids, outcome)
         table[t, :n] = ids
     return np.concatenate([known[k][np.minimum(table[:n, k], len(known[k]) - 1)] for k, n in enumerate(lengths)])
@@ -281,9 +285,15 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 
 # --- tokenizer ---------------------------------------------------------------------------
 
-KEPT_CHUNKS = 300_000
-#: No token spans these; the tokenizer drops white space between words.
+#: Encoded stretches that a worker keeps, in two generations as in the byte-level encoder.
+KEPT_CHUNKS = 600_000
+#: White space to str.split, but not to the tokenizer, which drops white space between words.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 GAPS = re.compile(r"[ \t\n\r]+")
+#: Letters alone, before punctuation that starts a word of its own.
+TAIL = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+#: Words that are joined for one call.
+JOINED = 4000
 
 
 class Words:
@@ -294,20 +304,55 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kept: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Little-endian ids of each text; each distinct stretch without white space is encoded once."""
-        chunks = [GAPS.split(text) for text in texts]
+        chunks = [GAPS.split(text) if any(c in text for c in SEPARATORS) else text.split() for text in texts]
         new = set().union(*chunks)
-        if len(self.kept) + len(new) > KEPT_CHUNKS:
-            self.kept = {"": b""}
-        new = sorted(new.difference(self.kept))
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.kept[chunk] = np.array(found.ids, "<u4").tobytes()
+        if len(self.kept) + len(new) > KEPT_CHUNKS // 2:
+            self.older, self.kept = self.kept, {"": b""}
+        self.recall(new)
+        split = {chunk: m.groups() for chunk in new if (m := TAIL.fullmatch(chunk))}
+        parts = {part for pair in split.values() for part in pair} | new.difference(split)
+        self.recall(parts)
+        self.learn(parts)
+        for chunk, (letters, tail) in split.items():
+            self.kept[chunk] = self.kept[letters] + self.kept[tail]
         end = end_id.to_bytes(4, "little")
         return [b"".join(map(self.kept.__getitem__, found)) + end for found in chunks]
 
+    def recall(self, chunks: set[str]) -> None:
+        """Leave in ``chunks`` what no generation has."""
+        chunks.difference_update(self.kept)
+        again = chunks.intersection(self.older)
+        self.kept.update(zip(again, map(self.older.__getitem__, again)))
+        chunks.difference_update(again)
+
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Words of letters alone are encoded as one text and cut where words end; others one by one."""
+        plain, others = [], []
+        for chunk in sorted(chunks):
+            single = chunk.isalpha() and len(chunk.lower()) == len(chunk) and unicodedata.is_normalized("NFC", chunk)
+            (plain if single else others).append(chunk)
+        for at in range(0, len(plain), JOINED):
+            some = plain[at:at + JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.nonzero(self.ends[ids])[0] + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                others += some
+                continue
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            self.kept.update((word, raw[a:b]) for word, a, b in zip(some, [0, *ends], ends))
+        for at in range(0, len(others), JOINED):
+            some = others[at:at + JOINED]
+            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+                self.kept[chunk] = np.array(found.ids, "<u4").tobytes()
+
 
 WORDS: dict[str, Words] = {}
 
