@@ -85,6 +85,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # its stages use this module's queries
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -96,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
