@@ -23,9 +23,14 @@ def pseudonym(kind: str, key: str, salt: str) -> str:
 
 
 def row_key(columns: Sequence[str]) -> str:
-    """One text key of several columns; NULLs count as empty."""
-    parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in columns)
-    return f"concat_ws('|', {parts})"
+    """One text key of several columns: each value after its length, NULL as a dash.
+
+    Different values give different keys, whatever characters they hold.
+    """
+    parts = ", ".join(
+        f"coalesce(concat(length(CAST({c} AS STRING)), ':', CAST({c} AS STRING)), '-')" for c in columns
+    )
+    return f"concat({parts})"
 
 
 def day(date: str) -> str:

@@ -22,32 +22,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Subset pairs of n dimensions number 3^n; this bounds the broadcast table to 531,441 rows.
-MAX_DIMS = 12
+def subsets(bits: str, n: int) -> str:
+    """Array of the bit sets inside the bit set ``bits`` over n bits.
 
-
-def subset_pairs(spark: SparkSession, n: int) -> DataFrame:
-    """(super, sub) for every pair of bit sets over n bits with sub inside super.
-
-    Each base-3 digit of the row number says: not in super, in super only, in both.
+    The k-th one takes the binary digits of k as its answers, one for each bit of ``bits``.
     """
-    digits = [f"(id DIV {3**i}) % 3" for i in range(n)]
-    upper = " + ".join(f"IF({d} > 0, {1 << i}, 0)" for i, d in enumerate(digits))
-    lower = " + ".join(f"IF({d} > 1, {1 << i}, 0)" for i, d in enumerate(digits))
-    return spark.range(3**n, numPartitions=1).selectExpr(
-        f"CAST({upper} AS INT) AS super", f"CAST({lower} AS INT) AS sub"
+    rank = lambda i: f"bit_count({bits} & {(1 << i) - 1}L)"
+    chosen = " | ".join(
+        f"IF({bits} & {1 << i}L <> 0 AND shiftright(k, {rank(i)}) & 1 = 1, {1 << i}L, 0L)" for i in range(n)
     )
+    return f"transform(sequence(0L, shiftleft(1L, bit_count({bits})) - 1), k -> {chosen})"
 
 
 def _masked(dims: Sequence[str], dropped: str) -> list[str]:
-    return [f"IF({dropped} & {1 << i} = 0, `{d}`, NULL) AS `{d}`" for i, d in enumerate(dims)]
+    return [f"IF({dropped} & {1 << i}L = 0, `{d}`, NULL) AS `{d}`" for i, d in enumerate(dims)]
 
 
 def _varying(dims: Sequence[str], entity: str) -> str:
     """Bit set of the dimensions with more than one value among an entity's rows."""
     own = f"OVER (PARTITION BY `{entity}`)"
     return " + ".join(
-        f"IF(min(struct(`{d}`)) {own} <=> max(struct(`{d}`)) {own}, 0, {1 << i})"
+        f"IF(min(struct(`{d}`)) {own} <=> max(struct(`{d}`)) {own}, 0L, {1 << i}L)"
         for i, d in enumerate(dims)
     )
 
@@ -67,30 +62,50 @@ def distinct_cube(
     ``compact=False`` skips the first reduction for input that has few repeated rows.
     """
     dims = list(dims)
-    if len(dims) > MAX_DIMS:
-        raise ValueError(f"at most {MAX_DIMS} dimensions")
-    spark, everything = df.sparkSession, (1 << len(dims)) - 1
-    pairs = F.broadcast(subset_pairs(spark, len(dims)))
+    everything = (1 << len(dims)) - 1
 
     rows = df.select(*dims, entity)
     rows = (rows.distinct() if compact else rows).selectExpr(
         "*", f"{_varying(dims, entity)} AS _varying"
     )
-    expanded = rows.join(pairs, F.expr("_varying = super")).selectExpr(
-        *_masked(dims, "sub"), entity, "_varying", "sub AS _dropped"
+    expanded = rows.selectExpr("*", f"explode({subsets('_varying', len(dims))}) AS _dropped").selectExpr(
+        *_masked(dims, "_dropped"), entity, "_varying", "_dropped"
     )
     # One row per entity and cell; the hash partitioning by entity still holds.
     once = expanded.groupBy(entity, *dims, "_varying", "_dropped").agg(
         F.expr(f"max(IF(`{entity}` IS NULL, 0, 1)) AS _one")
     )
     cells = once.groupBy(*dims, "_varying", "_dropped").agg(F.sum("_one").alias("_n"))
-    rolled = cells.join(pairs, F.expr(f"{everything} ^ _varying = super")).selectExpr(
-        *_masked(dims, "sub"), "_dropped | sub AS grouping_id", "_n"
+    constant = subsets(f"({everything}L ^ _varying)", len(dims))
+    rolled = cells.selectExpr("*", f"explode({constant}) AS _rolled").selectExpr(
+        *_masked(dims, "_rolled"), "_dropped | _rolled AS grouping_id", "_n"
     )
     totals = rolled.groupBy(*dims, "grouping_id").agg(F.sum("_n").alias(count))
     return totals if grouping_id else totals.drop("grouping_id")
 
 
+def store_cube(cube: DataFrame, folder: str) -> None:
+    """Write a cube with its ``grouping_id``: one folder per set of totals."""
+    cube.repartition("grouping_id").write.mode("overwrite").partitionBy("grouping_id").parquet(folder)
+
+
+def read_cube(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(folder)
+
+
+def slice_stored(
+    cube: DataFrame,
+    all_dims: Sequence[str],
+    dims: Sequence[str],
+    filters: Mapping[str, str | Sequence[str]] | None = None,
+    count: str = "cnt",
+) -> DataFrame:
+    """As ``cube_slice`` for a stored cube: only the folder of the wanted totals is scanned."""
+    used = set(dims) | set(filters or {})
+    wanted = sum(1 << i for i, d in enumerate(all_dims) if d not in used)
+    return cube_slice(cube.where(F.col("grouping_id") == wanted), all_dims, dims, filters, count)
+
+
 def cube_meta(cube: DataFrame, dims: Sequence[str], name: str) -> DataFrame:
     """(cube, dim, levels, rows): per dimension, its distinct levels and detail rows."""
     pairs = F.explode(F.array(*[

@@ -21,6 +21,16 @@ def first_per_key(
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def number_equal_rows(df: DataFrame, name: str = "occurrence") -> DataFrame:
+    """Number rows that are equal in every column from 1, so that each has a key of its own.
+
+    Equal rows are interchangeable, so they are counted before the exchange and unfolded
+    after it: a row that is repeated without end moves as one row per task.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias(name))
+
+
 def cap_rows(df: DataFrame, limit: int, order: Sequence[str | Column]) -> DataFrame:
     """The first ``limit`` rows in row order; 0 keeps all."""
     return df.orderBy(*order).limit(limit) if limit > 0 else df

@@ -13,7 +13,6 @@ from cohortloom.functions import fixed_values as fv
 
 Rule = tuple[str, str, str]
 _BY_TYPE = re.compile(r"^nodesByType\('(\w+)'\)(?:\.(\w+))?$")
-MAX_RULES = 10_000
 
 
 def default_rules() -> list[Rule]:
@@ -21,12 +20,9 @@ def default_rules() -> list[Rule]:
 
 
 def load_rules(spark: SparkSession, path: str) -> list[Rule]:
-    """Rules of a (path, method, usecase) CSV file; a configuration of bounded size."""
+    """Rules of a (path, method, usecase) CSV file; plan input, read as a whole."""
     rows = spark.read.option("header", True).csv(path).select("path", "method", "usecase")
-    rules = [tuple(r) for r in rows.where("path IS NOT NULL").limit(MAX_RULES + 1).collect()]
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules in {path}")
-    return rules
+    return [tuple(r) for r in rows.where("path IS NOT NULL").collect()]
 
 
 def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:

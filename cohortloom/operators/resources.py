@@ -16,10 +16,11 @@ from cohortloom.functions import codes, scalars
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions import nested as n
 from cohortloom.functions.codes import text
-from cohortloom.operators.dedup import first_per_key
+from cohortloom.operators.dedup import first_per_key, number_equal_rows
 from cohortloom.sources.idmaps import attach
 
 PATIENT, ENCOUNTER = "PATIENT_NUM", "ENCOUNTER_NUM"
+LAB_VALUES = [PATIENT, ENCOUNTER, "CONCEPT_CD", "START_DATE", "TVAL_CHAR"]
 SUBJECT_REF = n.reference(scalars.reference_to("Patient", "patient_uuid"))
 ENCOUNTER_REF = n.reference(scalars.reference_to("Encounter", "encounter_uuid"))
 
@@ -47,6 +48,8 @@ def map_patient(
     ))
     identifier = {"system": text(identifier_system), "value": PATIENT}
     address = {"postalCode": "ZIP_CD", "country": "'US'"}
+    if "STATE_CD" in df.columns:
+        address["state"] = "STATE_CD"
     return n.as_resource(attach(df, patients, PATIENT, "patient_uuid"), "Patient", {
         "id": "patient_uuid",
         "meta": _profile(fv.PATIENT_PROFILE),
@@ -91,11 +94,18 @@ def map_lab_observation(
     patients: DataFrame,
     encounters: DataFrame,
     salt: str,
-    row_key: Sequence[str] = (PATIENT, ENCOUNTER, "CONCEPT_CD", "START_DATE", "TVAL_CHAR"),
+    row_key: Sequence[str] | None = None,
     case_sensitive: bool = False,
 ) -> DataFrame:
-    """Observations of the listed lab codes. ``modifierExtension`` stays NULL."""
+    """Observations of the listed lab codes. ``modifierExtension`` stays NULL.
+
+    Without a ``row_key``, such as the source position, a row is known by its values and
+    by its number among rows of the same values.
+    """
     listed = df.where(codes.one_of("CONCEPT_CD", fv.LAB_TO_LOINC))
+    if row_key is None:
+        listed = number_equal_rows(listed.select(*LAB_VALUES))
+        row_key = [*LAB_VALUES, "occurrence"]
     return n.as_resource(with_ids(listed, patients, encounters), "Observation", {
         "id": scalars.pseudonym("Observation", scalars.row_key(row_key), salt),
         "status": "'final'",
@@ -112,18 +122,41 @@ def map_lab_observation(
     })
 
 
+def with_own_ids(df: DataFrame, salt: str) -> DataFrame:
+    """The rows of the cohort that the id maps were made from, with both ids computed in place.
+
+    Ids are digests of the natural keys, so the cohort's own rows need no join; rows without
+    a key are in no map.
+    """
+    return df.where(f"{PATIENT} IS NOT NULL AND {ENCOUNTER} IS NOT NULL").selectExpr(
+        "*", f"{scalars.pseudonym('Patient', PATIENT, salt)} AS patient_uuid",
+        f"{scalars.pseudonym('Encounter', ENCOUNTER, salt)} AS encounter_uuid",
+    )
+
+
+def with_ids_by_pair(df: DataFrame, patients: DataFrame, encounters: DataFrame) -> DataFrame:
+    """As ``with_ids`` for rows with large columns: keys meet the maps first, rows move once."""
+    pairs = with_ids(df.select(PATIENT, ENCOUNTER).distinct(), patients, encounters)
+    return df.join(pairs, [PATIENT, ENCOUNTER])
+
+
 def map_document_reference(
     df: DataFrame,
-    patients: DataFrame,
-    encounters: DataFrame,
     salt: str,
-    row_key: Sequence[str] = (PATIENT, ENCOUNTER, "CONCEPT_CD", "START_DATE", "OBSERVATION_BLOB"),
+    row_key: Sequence[str],
+    maps: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
+    """Notes as documents. ``row_key`` names the columns that identify a note.
+
+    ``maps`` are the patient and encounter maps, if they weren't made from these very notes.
+    Without them no row is exchanged.
+    """
+    rows = with_ids_by_pair(df, *maps) if maps else with_own_ids(df, salt)
     attachment = (
         "named_struct('contentType', 'text/plain', 'data', "
         f"{scalars.encode_note('OBSERVATION_BLOB')}, 'url', NULL)"
     )
-    return n.as_resource(with_ids(df, patients, encounters), "DocumentReference", {
+    return n.as_resource(rows, "DocumentReference", {
         "id": scalars.pseudonym("DocumentReference", scalars.row_key(row_key), salt),
         "status": "'superseded'",
         "category": n.array(n.concept(

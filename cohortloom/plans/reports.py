@@ -24,6 +24,7 @@ from cohortloom.plans import facts
 
 Tables = Mapping[str, DataFrame]
 
+KNOWN = "('Positive', 'Negative')"
 RESULT_DIMS = ["enct_date", "test_method", "covid_result", "gender", "age_group", "race"]
 SYMPTOM_DIMS_6 = ["enct_date", "symptoms", "gender", "age_group", "race", "covid_diagnosis"]
 SYMPTOM_DIMS_8 = [*SYMPTOM_DIMS_6, "covid_lab_test", "covid_classifier"]
@@ -71,22 +72,20 @@ def _paired(both: DataFrame) -> DataFrame:
     rows = both.selectExpr(
         *keys, f"coalesce(l, {nothing}) AS l", "c", f"coalesce(c, {nothing}) AS all_c", f"{labels} AS labels"
     ).selectExpr(*keys, f"inline(flatten(transform(l, x -> transform({other}, y -> {pair}))))")
-    lab_known = "covid_lab_test IN ('Positive', 'Negative')"
-    lab_unknown = "covid_lab_test NOT IN ('Positive', 'Negative')"
-    cls_known = "covid_classifier IN ('Positive', 'Negative')"
-    cls_unknown = "covid_classifier NOT IN ('Positive', 'Negative')"
-    method = (
-        f"CASE WHEN {lab_known} THEN 'Lab_test'"
-        f" WHEN {lab_unknown} AND {cls_known} THEN 'covid_classifier'"
-        f" WHEN covid_lab_test = 'Unknown' AND {cls_unknown} THEN 'Lab_test' ELSE 'Unknown' END"
-    )
-    result = (
-        f"CASE WHEN {lab_known} THEN covid_lab_test"
-        f" WHEN {lab_unknown} AND {cls_known} THEN covid_classifier ELSE 'Unavailable' END"
+    # Only a known result decides, the lab's before the classifier's; without any lab row
+    # nothing is decided. A lab that stayed open next to an open classifier keeps its name.
+    decided = f"covid_lab_test IN {KNOWN}"
+    open_lab = "covid_lab_test IS NOT NULL"
+    source = (
+        f"CASE WHEN {decided} THEN named_struct('method', 'Lab_test', 'result', covid_lab_test)"
+        f" WHEN {open_lab} AND covid_classifier IN {KNOWN}"
+        " THEN named_struct('method', 'covid_classifier', 'result', covid_classifier)"
+        f" ELSE named_struct('method', IF({open_lab} AND covid_lab_test = 'Unknown'"
+        " AND covid_classifier IS NOT NULL, 'Lab_test', 'Unknown'), 'result', 'Unavailable') END"
     )
     return rows.where("covid_lab_test IS NOT NULL OR covid_classifier IS NOT NULL").selectExpr(
-        *keys, "enct_date", f"{method} AS test_method", f"{result} AS covid_result"
-    )
+        *keys, "enct_date", f"{source} AS source"
+    ).selectExpr(*keys, "enct_date", "source.method AS test_method", "source.result AS covid_result")
 
 
 def covid_result_rows(
@@ -105,7 +104,7 @@ def covid_result_rows(
         rows = joined.union(swapped)
     else:
         rows = joined.unionByName(dx)
-    week = scalars.trunc_day("week", scalars.parse_day("enct_date"))
+    week = scalars.trunc_day("week", scalars.parse_day(scalars.day("enct_date")))
     return rows.selectExpr(
         "encounter_id", "subject_id", f"{week} AS enct_date", "test_method", "covid_result"
     )
@@ -153,7 +152,8 @@ def symptom_rows(
     )
     dx = (
         facts.with_code(tables["condition"])
-        .selectExpr(facts.ENCOUNTER, f"{text(dx_label)} AS dx").distinct()
+        .selectExpr(facts.ENCOUNTER).distinct()
+        .withColumn("dx", F.expr(text(dx_label)))  # after the distinct, whose partitioning the join keeps
     )
     profiles = facts.patient_profiles(tables["patient"], as_of, collapse_race)
     keys = list(dict.fromkeys([entity, "subject_id"]))
@@ -252,10 +252,11 @@ def symptom_rows_v81(
 def symptom_cube_v81(
     tables: Tables, as_of, first_year: int = 2016,
     classifier_tag: int | str = fv.CLASSIFIER_202204, collapse_race: bool = False,
+    grouping_id: bool = False,
 ) -> DataFrame:
     """Patients by majority symptom, diagnosis, test and classifier version, up to ``as_of``."""
     rows = symptom_rows_v81(tables, as_of, first_year, classifier_tag, collapse_race)
-    return distinct_cube(rows, SYMPTOM_DIMS_8, "subject_id", compact=False)
+    return distinct_cube(rows, SYMPTOM_DIMS_8, "subject_id", grouping_id=grouping_id, compact=False)
 
 
 # --- delays (R7) -----------------------------------------------------------------------

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library is tuned for. All are runtime SQL settings.
 #  - AQE picks broadcast joins from measured sizes, merges small partitions and splits
@@ -29,14 +28,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared folder ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only when the setting is absent and the session runs
-    in local mode.
+    Where that is unset, the session's warehouse, which Spark shares as well, holds the
+    folder; nothing is ever written to a machine's own temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="cohortloom-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
     return f"{root.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -36,32 +36,61 @@ def read_extract(
     position: bool = False,
     splittable: bool = False,
     na_tokens: Sequence[str] = fv.NA_TOKENS,
+    uniform: bool = False,
 ) -> DataFrame:
     """Read the named columns of one or many CSV files as strings, blanks as NULL.
 
-    Columns are found by header name and never inferred; a file of the same read whose
-    header differs from the first one is an error rather than a silent shift. Quoted
-    line breaks are honoured, which makes a file one task; pass ``splittable=True`` for
-    extracts known to have none, and large files are read in splits.
+    Columns are found by header name and never inferred. Files may hold them in any order
+    and beside others: files are grouped by header, each group is read with its own, and a
+    header without a wanted column is an error rather than a silent shift. Finding the
+    headers is one pass over the lines; ``uniform=True`` leaves it out for files known to
+    share a header. Quoted line breaks are honoured, which makes a file one task, so large
+    extracts with note texts should come as many files; pass ``splittable=True`` for extracts
+    known to have none, and large files are read in splits.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("enforceSchema", False)
-        .option("multiLine", not splittable)
-        .option("escape", '"')
+    paths = [path] if isinstance(path, str) else list(path)
+    groups = [paths] if uniform else files_by_header(spark, paths)
+    out = None
+    for files in groups:
+        raw = (
+            spark.read.option("header", True)
+            .option("inferSchema", False)
+            .option("enforceSchema", False)
+            .option("multiLine", not splittable)
+            .option("escape", '"')
+            .csv(files)
+        )
+        missing = [c for c in columns if c not in raw.columns]
+        if missing:
+            raise ValueError(f"extract has no column {missing}; found {raw.columns}")
+        cleaned = [
+            f"IF({one_of(f'`{c}`', na_tokens)}, NULL, `{c}`) AS `{c}`" if na_tokens else f"`{c}`"
+            for c in columns
+        ]
+        rows = with_position(raw).selectExpr(*cleaned, *POSITION) if position else raw.selectExpr(*cleaned)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header) of each file: its first line."""
+    lines = with_position(spark.read.text(list(paths)))
+    return lines.groupBy(F.col("src_file").alias("path")).agg(
+        F.min_by("value", F.struct("src_block", "src_row")).alias("header")
     )
-    raw = reader.csv(path if isinstance(path, str) else list(path))
-    missing = [c for c in columns if c not in raw.columns]
-    if missing:
-        raise ValueError(f"extract has no column {missing}; found {raw.columns}")
-    cleaned = [
-        f"IF({one_of(f'`{c}`', na_tokens)}, NULL, `{c}`) AS `{c}`" if na_tokens else f"`{c}`"
-        for c in columns
-    ]
-    if not position:
-        return raw.selectExpr(*cleaned)
-    return with_position(raw).selectExpr(*cleaned, *POSITION)
+
+
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files grouped by header; empty files are left out.
+
+    When all files share one header, the given paths are returned as they are, so that only
+    the names of differing headers reach the driver.
+    """
+    found = headers(spark, paths).where("header <> ''")
+    kinds = [r["header"] for r in found.select("header").distinct().sort("header").collect()]
+    if len(kinds) < 2:
+        return [list(paths)]
+    return [[r["path"] for r in found.where(F.col("header") == kind).sort("path").collect()] for kind in kinds]
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.functions import scalars
+from cohortloom.sources.publish import first_published, publish
 
 SCHEMA = "source_id string, uuid string"
 
@@ -22,20 +25,47 @@ def extend_id_map(existing: DataFrame, cohort: DataFrame, key: str, kind: str, s
     return existing.select("source_id", "uuid").unionByName(fresh)
 
 
-def save_id_map(id_map: DataFrame, path: str) -> None:
-    """Write the map unless one exists: a cohort is frozen once assigned."""
-    id_map.write.mode("ignore").parquet(path)
+def has_id_map(spark: SparkSession, path: str) -> bool:
+    return first_published(spark, path) is not None
+
+
+def save_id_map(id_map: DataFrame, path: str) -> bool:
+    """Write the map unless one is published: a cohort is frozen once assigned.
+
+    Of two writers the first to publish wins. Returns whether this map is the one in use.
+    """
+    spark = id_map.sparkSession
+    if has_id_map(spark, path):
+        return False
+    name = f"map-{uuid.uuid4().hex}"
+    id_map.write.parquet(f"{path.rstrip('/')}/{name}")
+    publish(spark, path, name)
+    return first_published(spark, path) == name
 
 
 def load_id_map(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+    name = first_published(spark, path)
+    if name is None:
+        raise ValueError(f"no id map was published in {path}")
+    return spark.read.schema(SCHEMA).parquet(f"{path.rstrip('/')}/{name}")
+
+
+# A quoted key and a quoted value between the commas of an object, or the end of an empty one.
+_ENTRY = r'^\\s*\\{?\\s*"([^"]*)"\\s*:\\s*"([^"]*)"\\s*\\}?\\s*$'
 
 
 def import_json_id_map(spark: SparkSession, path: str) -> DataFrame:
-    """One-off import of a map kept as a single JSON object."""
-    whole = spark.read.text(path, wholetext=True)
-    entries = F.explode(F.from_json("value", "map<string,string>")).alias("source_id", "uuid")
-    return whole.select(entries)
+    """One-off import of a map kept as a single JSON object of plain keys and ids.
+
+    The object is read in splits at its commas, so it may be of any size. A piece that is
+    not one entry, such as a key with a comma or an escape, is an error.
+    """
+    pieces = spark.read.option("lineSep", ",").text(path).where(r"value NOT RLIKE '^[{}\\s]*$'")
+    return pieces.selectExpr(
+        f"IF(value RLIKE '{_ENTRY}', value, raise_error(concat('not an entry: ', value))) AS value"
+    ).selectExpr(
+        f"regexp_extract(value, '{_ENTRY}', 1) AS source_id", f"regexp_extract(value, '{_ENTRY}', 2) AS uuid"
+    )
 
 
 def attach(df: DataFrame, id_map: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:

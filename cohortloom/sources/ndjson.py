@@ -47,18 +47,25 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     """Split lines into parsed rows and rejects.
 
     Rows keep their position. Rejects are (value, position) of lines that are not valid
-    JSON for the schema.
+    JSON for the schema. Both are filters of ``mark_lines``; to use both, write or aggregate
+    that one frame, so that lines are scanned and parsed once.
     """
+    marked = mark_lines(lines, schema)
+    return (
+        marked.where("reject IS NULL").select(*schema.fieldNames(), *POSITION),
+        marked.where("reject IS NOT NULL").select(F.col("reject").alias("value"), *POSITION),
+    )
+
+
+def mark_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parsed fields, ``reject`` (the line itself where it is not valid JSON for the schema), position."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     parsed = lines.withColumn("row", F.from_json(
         "value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     ))
     bad = F.col("row").isNull() | F.col("row._corrupt").isNotNull()
     keep = [F.col(f"row.{name}").alias(name) for name in schema.fieldNames()]
-    return (
-        parsed.where(~bad).select(*keep, *POSITION),
-        parsed.where(bad).select("value", *POSITION),
-    )
+    return parsed.select(*keep, F.when(bad, F.col("value")).alias("reject"), *POSITION)
 
 
 def read_ndjson(
@@ -68,6 +75,11 @@ def read_ndjson(
     return parse_lines(read_lines(spark, path), schema)
 
 
+def read_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows and rejects of NDJSON files as one frame, from one scan and one parse."""
+    return mark_lines(read_lines(spark, path), schema)
+
+
 def write_ndjson(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Write resources as NDJSON; NULL fields are left out. A rerun replaces the output."""
     writer = df.write.mode("overwrite")

@@ -80,13 +80,33 @@ def note_context(patient: str, encounter: str, date: str) -> list[str]:
     ]
 
 
-def document_notes(documents: DataFrame, files: DataFrame | None = None) -> DataFrame:
+NO_FILES = "path string, text string"
+
+
+def document_notes(documents: DataFrame, files: DataFrame) -> DataFrame:
     """Clinical notes held in DocumentReference resources, one row per text attachment.
 
     Keeps documents with a clinical-note category and attachments of plain text. The text
     is the attachment's base64 data, else the file at its url, looked up in ``files``
-    (path, text). Attachments with neither are dropped.
+    (path, text). Attachments with neither are in ``document_note_rejects``.
     """
+    keep = ["encounter", "patient_uuid", "note_date", "attachment_pos"]
+    notes = _text_attachments(documents)
+    inline = notes.where("data IS NOT NULL").selectExpr(*keep, f"{scalars.decode_note('data')} AS text")
+    # Only attachments without data are joined: the others would all meet in the partition
+    # of the NULL path, texts included.
+    found = notes.where("data IS NULL").join(files.selectExpr("path AS url", "text"), "url").where("text IS NOT NULL")
+    return inline.unionByName(found.select(*keep, "text"))
+
+
+def document_note_rejects(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """(encounter, patient_uuid, note_date, attachment_pos, url) of text attachments without a text."""
+    known = files.where("text IS NOT NULL").selectExpr("path AS url")
+    return _text_attachments(documents).where("data IS NULL").drop("data").join(known, "url", "left_anti")
+
+
+def _text_attachments(documents: DataFrame) -> DataFrame:
+    """Plain-text attachments of clinical notes with their note context, data and url."""
     is_note = (
         "resourceType = 'DocumentReference' AND exists(category.coding, cs -> exists(cs,"
         f" c -> c.system = {text(fv.DOCUMENT_CATEGORY)} AND c.code = 'clinical-note'))"
@@ -94,17 +114,9 @@ def document_notes(documents: DataFrame, files: DataFrame | None = None) -> Data
     context = note_context("subject.reference", "get(context.encounter.reference, 0)", "date")
     attachments = "filter(content.attachment, a -> a.contentType = 'text/plain')"
     keep = ["encounter", "patient_uuid", "note_date", "attachment_pos"]
-    notes = (
+    return (
         documents.where(is_note)
         .selectExpr(*context, f"posexplode({attachments}) AS (attachment_pos, attachment)")
         .where("encounter IS NOT NULL")
         .selectExpr(*keep, "attachment.data AS data", "attachment.url AS url")
     )
-    inline = notes.where("data IS NOT NULL").selectExpr(*keep, f"{scalars.decode_note('data')} AS text")
-    if files is None:
-        return inline
-    # Only attachments without data are joined: the others would all meet in the partition
-    # of the NULL path, texts included.
-    linked = notes.where("data IS NULL AND url IS NOT NULL")
-    found = linked.join(files.selectExpr("path AS url", "text"), "url", "left").where("text IS NOT NULL")
-    return inline.unionByName(found.select(*keep, "text"))

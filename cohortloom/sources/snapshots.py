@@ -3,23 +3,29 @@
 A table is a folder with one data folder per commit and a history table. A data folder
 is visible only through its history row, which is written last, so an interrupted write
 leaves no trace for readers. A restore adds a history row that points at older data and
-copies nothing. One writer at a time is assumed.
+copies nothing. Every write has a data folder of its own name, so writers never overwrite
+each other; of two that commit the same version the first one has it and the other fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.sources.publish import read_if_present
+
 HISTORY = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("operation", T.StringType()),
     T.StructField("source_version", T.LongType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("claim", T.StringType()),
+    T.StructField("claimed_at", T.TimestampType()),
 ])
 
 
@@ -27,26 +33,33 @@ def _history_path(path: str) -> str:
     return f"{path.rstrip('/')}/history"
 
 
-def _data_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/version={version}"
+def _data_path(path: str, version: int, claim: str) -> str:
+    return f"{path.rstrip('/')}/version={version}/{claim}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _claims(spark: SparkSession, path: str) -> DataFrame:
+    """Who committed each version: of two writers of one version, the first."""
+    rows = read_if_present(spark, _history_path(path), HISTORY)
+    first = F.min_by(F.struct(*rows.columns), F.struct("claimed_at", "claim")).alias("first")
+    return rows.groupBy("version").agg(first).select("first.*")
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """(version, committed_at, operation, source_version, rows), one row per commit."""
-    if not _exists(spark, _history_path(path)):
-        return spark.createDataFrame([], HISTORY)
-    return spark.read.schema(HISTORY).parquet(_history_path(path))
+    return _claims(spark, path).drop("claim", "claimed_at")
+
 
+def _commit(spark, path, version, operation, source_version, rows, committed_at, claim) -> int:
+    """Append the commit; an error if another writer took the version first.
 
-def _commit(spark, path, version, operation, source_version, rows, committed_at) -> int:
-    when = committed_at or dt.datetime.now(dt.timezone.utc)
-    row = [(version, when, operation, source_version, rows)]
+    The loser's data stays in a folder that no history row in use names.
+    """
+    now = dt.datetime.now(dt.timezone.utc)
+    row = [(version, committed_at or now, operation, source_version, rows, claim, now)]
     spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(_history_path(path))
+    winner = _one(_claims(spark, path).where(F.col("version") == version))
+    if winner["claim"] != claim:
+        raise RuntimeError(f"version {version} of {path} was taken by another writer")
     return version
 
 
@@ -65,12 +78,18 @@ def write_snapshot(
     """
     spark = df.sparkSession
     last = _one(snapshot_history(spark, path))
-    version = last["version"] + 1 if last else 0
+    version, claim = last["version"] + 1 if last else 0, uuid.uuid4().hex
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     out = counted.repartition(files) if files else counted
-    out.write.mode("overwrite").parquet(_data_path(path, version))
-    return _commit(spark, path, version, "write", version, seen.get["rows"], committed_at)
+    out.write.parquet(_data_path(path, version, claim))
+    return _commit(spark, path, version, "write", version, seen.get["rows"], committed_at, claim)
+
+
+def _live_path(spark: SparkSession, path: str, source_version: int) -> str:
+    """Data folder of the write that a version goes back to."""
+    source = _one(_claims(spark, path).where(F.col("version") == source_version))
+    return _data_path(path, source_version, source["claim"])
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -81,14 +100,14 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     row = _one(history)
     if row is None:
         raise ValueError(f"no such version of {path}: {version}")
-    return spark.read.parquet(_data_path(path, row["source_version"]))
+    return spark.read.parquet(_live_path(spark, path, row["source_version"]))
 
 
 def _restore(spark: SparkSession, path: str, target, committed_at) -> int:
     newest = _one(snapshot_history(spark, path))
     return _commit(
         spark, path, newest["version"] + 1, "restore", target["source_version"], target["rows"],
-        committed_at,
+        committed_at, uuid.uuid4().hex,
     )
 
 
@@ -119,7 +138,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     if row is None:
         raise ValueError(f"{path} has no version")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return files.load(_data_path(path, row["source_version"])).select(F.col("path").alias("file"))
+    return files.load(_live_path(spark, path, row["source_version"])).select(F.col("path").alias("file"))
 
 
 def write_manifest(spark: SparkSession, path: str, target: str) -> None:

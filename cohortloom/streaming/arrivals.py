@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cohortloom.sources.extracts import headers
+
+
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+REJECTED = "path string, header string, batch_id bigint"
+SOURCE_FILE = T.StructField("source_file", T.StringType())
+
 
 def cube_schema(dims: dict[str, str] | list[str]) -> T.StructType:
     """Schema of a cube file: dimensions (strings unless typed), then the count."""
@@ -28,20 +35,41 @@ def load_arriving_cubes(
     Processes what has arrived and ends; run it again for later arrivals. The file log in
     the checkpoint remembers loaded files. A batch writes its own folder with overwrite, so
     one that is repeated after a failure replaces itself and no file is loaded twice.
+
+    The stream carries file names only. Of each batch, at most ``max_files`` of them, the
+    headers are read first: files with the schema's columns, in any order, are loaded, all
+    others are listed in ``rejected_files`` and stop nothing.
     """
     arriving = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        spark.readStream.format("binaryFile").schema(FILES)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
-        .csv(source)
-        .withColumn("source_file", F.col("_metadata.file_name"))
+        .load(source)
+        .select("path")
     )
+    root = target.rstrip("/")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        paths = [r["path"] for r in batch.collect()]
+        if not paths:
+            return
+        session = batch.sparkSession
+        good: dict[str, list[str]] = {}
+        bad = []
+        for row in headers(session, paths).collect():
+            if sorted(_names(row["header"])) == sorted(schema.fieldNames()):
+                good.setdefault(row["header"], []).append(row["path"])
+            else:
+                bad.append((row["path"], row["header"], batch_id))
+        session.createDataFrame(bad, REJECTED).coalesce(1).write.mode("overwrite").parquet(
+            f"{root}-rejected/batch={batch_id}")
+        loaded = session.createDataFrame([], T.StructType([*schema.fields, SOURCE_FILE]))
+        for header, files in good.items():
+            own = T.StructType([schema[name] for name in _names(header)])
+            rows = session.read.schema(own).option("header", True).csv(files)
+            loaded = loaded.unionByName(rows.withColumn("source_file", F.col("_metadata.file_name")))
+        loaded.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return (
         arriving.writeStream.foreachBatch(load)
@@ -51,10 +79,19 @@ def load_arriving_cubes(
     )
 
 
+def _names(header: str | None) -> list[str]:
+    return [name.strip().strip('"') for name in (header or "").split(",")]
+
+
+def rejected_files(spark: SparkSession, target: str) -> DataFrame:
+    """(path, header, batch_id) of the files whose header is not the cube's."""
+    return spark.read.schema(REJECTED).parquet(f"{target.rstrip('/')}-rejected/*")
+
+
 def read_loaded_cubes(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     full = T.StructType([
         *schema.fields,
-        T.StructField("source_file", T.StringType()),
+        SOURCE_FILE,
         T.StructField("batch_id", T.LongType()),
     ])
     return spark.read.schema(full).parquet(target)

@@ -29,11 +29,14 @@ def test_extract_glob_selects_by_name_and_keeps_position(spark, tmp_path):
         extracts.read_extract(spark, f"{tmp_path}/*Diagnosis.csv", ["MISSING"])
 
 
-def test_extract_header_mismatch_is_an_error(spark, tmp_path):
+def test_extract_files_are_aligned_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("A,B\n1,2\n")
-    (tmp_path / "b.csv").write_text("B,A\n2,1\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        extracts.read_extract(spark, str(tmp_path), ["A", "B"]).collect()
+    (tmp_path / "b.csv").write_text("B,X,A\n4,9,3\n")
+    (tmp_path / "empty.csv").write_text("")
+    read = extracts.read_extract(spark, str(tmp_path), ["A", "B"], position=True)
+    assert sorted((r["A"], r["B"]) for r in read.collect()) == [("1", "2"), ("3", "4")]
+    with pytest.raises(ValueError, match="X"):
+        extracts.read_extract(spark, str(tmp_path), ["A", "X"])
 
 
 def note_json(n):
@@ -132,6 +135,9 @@ def test_document_notes_inline_linked_and_skipped(spark, tmp_path):
         ("Encounter/" + "a" * 36, "p" * 36, "2021-03-04", "hi"),
     ]
     assert rejects.count() == 0
+    missing = notes.document_note_rejects(rows, files).collect()
+    assert [r["url"] for r in missing] == ["/n/none"]
+    assert {r["url"] for r in notes.document_note_rejects(rows, files.limit(0)).collect()} == {"/n/1", "/n/none"}
 
 
 def test_id_maps(spark, tmp_path):
@@ -146,9 +152,44 @@ def test_id_maps(spark, tmp_path):
     assert sorted(r["source_id"] for r in loaded.collect()) == ["1", "2"]
     extended = idmaps.extend_id_map(loaded, more, "K", "Patient", "s")
     assert sorted(r["source_id"] for r in extended.collect()) == ["1", "2", "3"]
-    (tmp_path / "old.json").write_text(json.dumps({"7": "u7", "8": "u8"}))
-    old = idmaps.import_json_id_map(spark, str(tmp_path / "old.json"))
-    assert sorted(map(tuple, old.collect())) == [("7", "u7"), ("8", "u8")]
+    for indent in (None, 1):
+        (tmp_path / "old.json").write_text(json.dumps({"7": "u7", "8": "u8"}, indent=indent))
+        old = idmaps.import_json_id_map(spark, str(tmp_path / "old.json"))
+        assert sorted(map(tuple, old.collect())) == [("7", "u7"), ("8", "u8")]
+    (tmp_path / "bad.json").write_text(json.dumps({"7,5": "u7"}))
+    with pytest.raises(Exception, match="not an entry"):
+        idmaps.import_json_id_map(spark, str(tmp_path / "bad.json")).collect()
+    (tmp_path / "none.json").write_text("{}")
+    assert idmaps.import_json_id_map(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_crashed_map_write_leaves_no_map(spark, tmp_path):
+    path = str(tmp_path / "m")
+    (tmp_path / "m" / "map-crashed" / "_temporary").mkdir(parents=True)
+    (tmp_path / "m" / "published" / "_temporary").mkdir(parents=True)
+    with pytest.raises(ValueError, match="no id map"):
+        idmaps.load_id_map(spark, path)
+    keys = spark.createDataFrame([("1",)], "K string")
+    assert idmaps.save_id_map(idmaps.cohort_id_map(keys, "K", "Patient", "s"), path)
+    assert idmaps.load_id_map(spark, path).count() == 1
+
+
+def test_two_writers_of_a_map_and_of_a_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    one, two = (spark.createDataFrame([(k, k)], idmaps.SCHEMA) for k in "ab")
+    assert idmaps.save_id_map(one, path)
+    monkeypatch.setattr(idmaps, "has_id_map", lambda *_: False)  # looked before the first one published
+    assert not idmaps.save_id_map(two, path)
+    assert [r["uuid"] for r in idmaps.load_id_map(spark, path).collect()] == ["a"]
+    table = str(tmp_path / "t")
+    assert snapshots.write_snapshot(spark.range(3), table) == 0
+    history = snapshots.snapshot_history
+    monkeypatch.setattr(snapshots, "snapshot_history", lambda s, p: history(s, p).limit(0))
+    with pytest.raises(RuntimeError, match="another writer"):
+        snapshots.write_snapshot(spark.range(7), table)
+    monkeypatch.undo()
+    assert snapshots.read_snapshot(spark, table).count() == 3
+    assert snapshots.snapshot_history(spark, table).count() == 1
 
 
 def test_snapshots(spark, tmp_path):

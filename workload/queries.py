@@ -12,9 +12,10 @@ from cohortloom import schemas
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions import scalars
 from cohortloom.operators import annotate, deidentify, mentions, resources
-from cohortloom.operators.cube import cube_levels, cube_meta, cube_slice
+from cohortloom.operators.cube import cube_levels, cube_meta, read_cube, slice_stored
 from cohortloom.operators.dedup import cap_rows, value_counts
 from cohortloom.plans import facts, reports
+from cohortloom.plans.pipeline import TABLES, read_rejects, read_tables
 from cohortloom.session import shared_folder
 from cohortloom.sources import extracts, idmaps, ndjson, notes, snapshots
 from cohortloom.streaming.arrivals import cube_schema, load_arriving_cubes, read_loaded_cubes
@@ -67,9 +68,9 @@ def cohort_visits(w: Warehouse) -> DataFrame:
 
 
 @register(q.query(
-    f"SELECT {q.uuid('Condition', chr(39).join(['ENCOUNTER_NUM || ', '|', ' || CONCEPT_CD']))} AS id,"
+    f"SELECT {q.uuid('Condition', q.row_key('ENCOUNTER_NUM', 'CONCEPT_CD'))} AS id,"
     " CASE split_part(CONCEPT_CD, ':', 1) WHEN 'ICD9' THEN 'ICD-9' WHEN 'ICD10' THEN 'ICD-10'"
-    " ELSE 'Not Found' END AS code_system, split_part(CONCEPT_CD, ':', 2) AS code,"
+    " ELSE 'Not Found' END AS code_system, nullif(split_part(CONCEPT_CD, ':', 2), '') AS code,"
     f" 'Patient/' || {q.patient()} AS subject, 'Encounter/' || {q.encounter()} AS encounter,"
     " substr(START_DATE, 1, 10) AS onset, 'encounter-diagnosis' AS category FROM cond"
 ))
@@ -82,13 +83,15 @@ def condition_resource(w: Warehouse) -> DataFrame:
 
 
 def _lab_sql(value: str) -> str:
-    key = "PATIENT_NUM || '|' || ENCOUNTER_NUM || '|' || CONCEPT_CD || '|' || START_DATE || '|' || coalesce(TVAL_CHAR, '')"
+    values = "PATIENT_NUM, ENCOUNTER_NUM, CONCEPT_CD, START_DATE, TVAL_CHAR"
+    key = q.row_key(*values.split(", "), "occurrence")
     return q.query(
         f"SELECT {q.uuid('Observation', key)} AS id,"
         f" {q.cases('CONCEPT_CD', fv.LAB_TO_LOINC)} AS loinc,"
         f" 'Patient/' || {q.patient()} AS subject, 'Encounter/' || {q.encounter()} AS encounter,"
         f" substr(START_DATE, 1, 10) AS effective, {value} AS value_code, TVAL_CHAR AS value_text"
-        f" FROM lab_cohort WHERE CONCEPT_CD <> 'LAB:0' AND {q.IN_COHORT}"
+        f" FROM (SELECT *, row_number() OVER (PARTITION BY {values}) AS occurrence FROM lab_cohort)"
+        f" WHERE CONCEPT_CD <> 'LAB:0' AND {q.IN_COHORT}"
     )
 
 
@@ -118,7 +121,7 @@ def lab_observation_exact_case(w: Warehouse) -> DataFrame:
 
 
 @register(q.query(
-    f"SELECT {q.uuid('DocumentReference', 'CAST(row_id AS VARCHAR)')} AS id,"
+    f"SELECT {q.uuid('DocumentReference', q.row_key('row_id'))} AS id,"
     f" 'Patient/' || {q.patient()} AS subject, 'Encounter/' || {q.encounter()} AS encounter,"
     " CONCEPT_CD AS type_text, substr(START_DATE, 1, 10) || 'T00:00:00Z' AS date,"
     " to_base64(encode(OBSERVATION_BLOB)) AS data FROM note_cohort"
@@ -154,7 +157,7 @@ def _classifier_columns(df: DataFrame) -> DataFrame:
 
 def _classifier_sql(source: str, prediction: str, tag: str, number: str) -> str:
     return q.query(
-        f"SELECT {q.uuid('Observation', quoted(tag) + chr(32) + '||' + chr(32) + quoted('|') + ' || e')} AS id,"
+        f"SELECT {q.uuid('Observation', q.row_key(quoted(tag), 'e'))} AS id,"
         f" 'Patient/' || {q.patient('p')} AS subject, 'Encounter/' || {q.encounter('e')} AS encounter,"
         f" d AS effective, {prediction} AS prediction,"
         " CASE r WHEN 'Positive' THEN '10828004' ELSE '260385009' END AS value_code,"
@@ -214,7 +217,7 @@ def _mention_sql(kind: str, types: dict[str, str]) -> str:
         f" AND {q.cases('sem_type', types)} = '{kind}'"
     )
     enc = f"'Encounter/' || {q.encounter()}" if kind == "Observation" else "CAST(NULL AS VARCHAR)"
-    key = f"{q.encounter()} || '|' || cui"
+    key = q.row_key(q.encounter(), "cui")
     return q.query(
         f"SELECT {q.uuid(kind, key)} AS id, 'Patient/' || {q.patient()} AS subject, {enc} AS encounter,"
         " CAST(begin_pos AS INTEGER) AS begin_pos, CAST(end_pos AS INTEGER) AS end_pos,"
@@ -295,15 +298,7 @@ def resource_files(w: Warehouse) -> DataFrame:
     " FROM note_cohort n LEFT JOIN labels l ON n.row_id = l.doc_id"
 ))
 def annotated_notes(w: Warehouse) -> DataFrame:
-    mention = (
-        "named_struct('begin', 0, 'end', 1, 'text', 'label', 'polarity', -toxic, 'conceptAttributes',"
-        " array(named_struct('code', '49727002', 'cui', 'C0010200', 'tui', 'T184', 'scheme', 'SNOMEDCT_US')))"
-    )
-    blob = f"CAST(map('SignSymptomMention', array({mention})) AS {schemas.ANNOTATIONS.simpleString()})"
-    annotations = w.table("labels").selectExpr("doc_id AS row_id", f"{blob} AS OBSERVATION_BLOB")
-    annotated, _ = mentions.annotate_notes(
-        w.extract("note_cohort"), annotations, "row_id", w.patients, w.encounters
-    )
+    annotated, _ = w.annotated_by_labels("note_cohort")
     return annotated.selectExpr(
         "row_id", "PATIENT_NUM AS patient_uuid", "ENCOUNTER_NUM AS encounter_uuid",
         "START_DATE AS start_date", "cardinality(OBSERVATION_BLOB) AS types",
@@ -318,7 +313,34 @@ def annotated_notes(w: Warehouse) -> DataFrame:
 ))
 def note_text_from_documents(w: Warehouse) -> DataFrame:
     dated = w.document().where("substring(date, 1, 10) BETWEEN '1996-01-01' AND '2000-12-31'")
-    return notes.document_notes(dated)
+    return notes.document_notes(dated, w.spark.createDataFrame([], notes.NO_FILES))
+
+
+_LEN = "length(OBSERVATION_BLOB)"
+
+
+@register(q.query(
+    f"SELECT 'note' AS status, 'Encounter/' || {q.encounter()} AS encounter, md5(OBSERVATION_BLOB) AS text_md5"
+    f" FROM note_cohort WHERE {_LEN} % 5 <> 0 AND {_LEN} % 4 <> 2 AND NOT ({_LEN} % 4 = 1 AND {_LEN} % 3 = 0)"
+    f" UNION ALL SELECT 'reject', 'Encounter/' || {q.encounter()}, NULL FROM note_cohort"
+    f" WHERE {_LEN} % 5 <> 0 AND {_LEN} % 4 = 1 AND {_LEN} % 3 = 0"
+))
+def note_text_linked(w: Warehouse) -> DataFrame:
+    """Documents of other categories and content types, and texts by url, some without a file."""
+    text = scalars.decode_note("content[0].attachment.data")
+    documents = w.document().selectExpr("*", f"length({text}) AS n", "concat('/notes/', id) AS path")
+    files = documents.where("n % 4 = 1 AND n % 3 <> 0").selectExpr("path", f"{text} AS text")
+    attachment = (
+        "named_struct('contentType', IF(n % 4 = 2, 'application/pdf', a.attachment.contentType),"
+        " 'data', IF(n % 4 = 1, NULL, a.attachment.data), 'url', IF(n % 4 = 1, path, NULL))"
+    )
+    coding = "named_struct('system', c.system, 'code', IF(n % 5 = 0, 'radiology', c.code), 'display', c.display)"
+    mixed = documents.withColumn("content", F.expr(f"transform(content, a -> named_struct('attachment', {attachment}))"))
+    mixed = mixed.withColumn("category", F.expr(
+        f"transform(category, k -> named_struct('coding', transform(k.coding, c -> {coding}), 'text', k.text))"))
+    found = notes.document_notes(mixed, files).selectExpr("'note' AS status", "encounter", "md5(text) AS text_md5")
+    rejected = notes.document_note_rejects(mixed, files)
+    return found.unionByName(rejected.selectExpr("'reject' AS status", "encounter", "CAST(NULL AS STRING) AS text_md5"))
 
 
 # --- line and file sources -------------------------------------------------------------
@@ -379,16 +401,32 @@ def ndjson_rejects(w: Warehouse) -> DataFrame:
     )
     folder = shared_folder(w.spark)
     lines.write.mode("overwrite").option("compression", "gzip").text(folder)
-    rows, rejects = ndjson.read_ndjson(w.spark, folder, schemas.ANNOTATED_NOTE)
-    good = rows.selectExpr(
-        f"{scalars.day('START_DATE')} AS note_date",
-        "get(OBSERVATION_BLOB['SignSymptomMention'], 0).polarity AS p",
-    ).groupBy("note_date").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("polarity"))
-    bad = rejects.agg(F.count(F.lit(1)).alias("n"))
-    return good.selectExpr("'row' AS status", "note_date", "n", "polarity").unionByName(
-        bad.selectExpr("'reject' AS status", "CAST(NULL AS STRING) AS note_date", "n",
-                       "CAST(NULL AS BIGINT) AS polarity")
-    )
+    return _read_back(w, folder)
+
+
+def _read_back(w: Warehouse, folder: str) -> DataFrame:
+    """Rows by day and rejects, from one scan and one parse."""
+    return ndjson.read_marked(w.spark, folder, schemas.ANNOTATED_NOTE).selectExpr(
+        "IF(reject IS NULL, 'row', 'reject') AS status",
+        f"IF(reject IS NULL, {scalars.day('START_DATE')}, NULL) AS note_date",
+        "IF(reject IS NULL, get(OBSERVATION_BLOB['SignSymptomMention'], 0).polarity, NULL) AS p",
+    ).groupBy("status", "note_date").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("polarity"))
+
+
+@register(q.query(
+    "SELECT 'row' AS status, substr(START_DATE, 1, 10) AS note_date, count(*) AS n,"
+    " CAST(sum(polarity) AS BIGINT) AS polarity"
+    f" FROM nlp_mention WHERE {q.IN_COHORT} GROUP BY ALL"
+    f" UNION ALL SELECT 'reject', NULL, count(*), NULL FROM nlp_mention WHERE row_id % 3 = 0 AND {q.IN_COHORT}"
+))
+def ndjson_plain(w: Warehouse) -> DataFrame:
+    """Annotated notes as plain NDJSON, with lines of other text between them."""
+    whole = F.to_json(F.struct("PATIENT_NUM", "ENCOUNTER_NUM", "START_DATE", "OBSERVATION_BLOB"))
+    lines = w.annotated().select("row_id", whole.alias("value")).selectExpr(
+        "explode(IF(row_id % 3 = 0, array(value, concat('-- ', row_id)), array(value))) AS value")
+    folder = shared_folder(w.spark)
+    lines.write.text(folder)
+    return _read_back(w, folder)
 
 
 @register(q.query(
@@ -401,6 +439,30 @@ def csv_extract_roundtrip(w: Warehouse) -> DataFrame:
     return extracts.read_extract(w.spark, f"{folder}/*.csv", columns, splittable=True)
 
 
+@register(q.query(
+    "SELECT ENCOUNTER_NUM, PATIENT_NUM, TVAL_CHAR FROM lab_cohort"
+))
+def csv_mixed_headers(w: Warehouse) -> DataFrame:
+    """Files with the columns in another order and beside others, read by name."""
+    root, rows = shared_folder(w.spark), w.extract("lab_cohort")
+    positive = F.coalesce(F.col("TVAL_CHAR") == "Positive", F.lit(False))
+    extracts.write_csv(rows.where(positive).select("TVAL_CHAR", "PATIENT_NUM", "ENCOUNTER_NUM"), f"{root}/a")
+    extracts.write_csv(rows.where(~positive).select("ENCOUNTER_NUM", "CONCEPT_CD", "TVAL_CHAR", "PATIENT_NUM"), f"{root}/b")
+    return extracts.read_extract(
+        w.spark, [f"{root}/a", f"{root}/b"], ["ENCOUNTER_NUM", "PATIENT_NUM", "TVAL_CHAR"], splittable=True)
+
+
+@register(q.query(f"SELECT PATIENT_NUM AS source_id, {q.patient()} AS uuid FROM cohort_p"))
+def id_map_json_import(w: Warehouse) -> DataFrame:
+    """The patient map written as one JSON object and imported in splits."""
+    folder = shared_folder(w.spark)
+    first, last = w.patients.agg(F.min("source_id"), F.max("source_id")).first()
+    entry = F.format_string('%s"%s": "%s"%s', F.when(F.col("source_id") == first, "{").otherwise(""), "source_id", "uuid",
+                            F.when(F.col("source_id") == last, "}").otherwise(""))
+    w.patients.sort("source_id").select(entry.alias("value")).coalesce(1).write.option("lineSep", ",").text(folder)
+    return idmaps.import_json_id_map(w.spark, folder)
+
+
 @register(q.query(
     "SELECT CAST(row_id AS VARCHAR) AS row_id, md5(OBSERVATION_BLOB) AS text_md5,"
     " length(OBSERVATION_BLOB) AS n_chars FROM note_cohort"
@@ -422,7 +484,7 @@ def csv_note_roundtrip(w: Warehouse) -> DataFrame:
 def first_predictions(w: Warehouse) -> DataFrame:
     """Classifier results written in row order as CSV; first row per encounter read back."""
     folder = shared_folder(w.spark)
-    ordered = w.extract("classifier_prediction").repartitionByRange(4, "row_id").sortWithinPartitions("row_id")
+    ordered = w.extract("classifier_prediction").repartitionByRange("row_id").sortWithinPartitions("row_id")
     extracts.write_csv(ordered.select("ENCOUNTER_NUM", "PREDICTION"), folder)
     back = extracts.read_extract(
         w.spark, folder, schemas.EXTRACT_COLUMNS["classifier_results"], position=True, splittable=True
@@ -432,6 +494,82 @@ def first_predictions(w: Warehouse) -> DataFrame:
 
 # --- stored tables ---------------------------------------------------------------------
 
+_CODED = "row_id % 11 <> 0"
+_PICKED = (
+    f"SELECT {q.cases('sem_type', fv.ALL_MENTION_TYPES)} AS kind FROM (SELECT *, row_number() OVER"
+    f" (PARTITION BY ENCOUNTER_NUM, cui ORDER BY row_id) k FROM nlp_mention WHERE {_CODED} AND {q.IN_COHORT}) WHERE k = 1"
+)
+_NLP_TABLES = ("condition", "observation", "medicationstatement", "procedure")
+
+
+@register(q.query("SELECT kind, count(*) AS n FROM picked GROUP BY kind", picked=_PICKED))
+def stored_mentions_by_type(w: Warehouse) -> DataFrame:
+    """Mentions of every mapped type in the stored tables."""
+    out = None
+    for name, df in read_tables(w.spark, w.full_folder, _NLP_TABLES).items():
+        noted = df.where(f"exists(modifierExtension.url, u -> u = '{fv.POLARITY_URL}')").groupBy(
+            F.lit(TABLES[name]).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+        out = noted if out is None else out.unionByName(noted)
+    return out
+
+
+@register(q.query(
+    "SELECT 'mentions' AS stage, count(*) AS taken, count(*) FILTER (WHERE coded) AS kept,"
+    f" count(*) FILTER (WHERE NOT coded) AS rejected FROM (SELECT {_CODED} AS coded FROM nlp_mention WHERE {q.IN_COHORT})"
+    " UNION ALL SELECT 'note_ids', count(*), count(*) FILTER (WHERE known), count(*) FILTER (WHERE NOT known)"
+    f" FROM (SELECT {q.IN_COHORT} AS known FROM nlp_mention)"
+))
+def stage_rejects(w: Warehouse) -> DataFrame:
+    """What went into a stage, what it mapped, and what the store holds as its rejects."""
+    exploded = mentions.explode_mentions(w.annotated(False, 11), fv.ALL_MENTION_TYPES, ["row_id"])
+    usable, _ = mentions.usable_mentions(exploded)
+    mapped, _ = w.annotated_by_labels("nlp_mention")
+    parts = (
+        ("mentions", "taken", exploded), ("mentions", "kept", usable),
+        ("mentions", "rejected", read_rejects(w.spark, w.full_folder, "mentions")),
+        ("note_ids", "taken", w.extract("nlp_mention")), ("note_ids", "kept", mapped),
+        ("note_ids", "rejected", read_rejects(w.spark, w.full_folder, "note_ids")),
+    )
+    out = None
+    for stage, name, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), F.lit(name).alias("name"), "n")
+        out = one if out is None else out.unionByName(one)
+    sums = [F.sum(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in ("taken", "kept", "rejected")]
+    return out.groupBy("stage").agg(*sums)
+
+
+@register(q.query(
+    f"SELECT {q.uuid('DocumentReference', q.row_key('row_id'))} AS id, md5(OBSERVATION_BLOB) AS text_md5 FROM note_cohort"
+))
+def stored_document_content(w: Warehouse) -> DataFrame:
+    data = scalars.decode_note("content[0].attachment.data")
+    return w.tables["documentreference"].selectExpr("id", f"md5({data}) AS text_md5")
+
+
+def _rows_of(name: str, *counted: str) -> str:
+    """Expected rows of a table: the sum of counts over (relation and condition)."""
+    return f"SELECT '{name}' AS name, {' + '.join(f'(SELECT count(*) FROM {c})' for c in counted)} AS rows, CAST(0 AS BIGINT) AS duplicates"
+
+
+@register(q.query(" UNION ALL ".join((
+    _rows_of("patient", "pat"),
+    _rows_of("condition", "cond", "picked WHERE kind = 'Condition'"),
+    _rows_of("observation", f"lab_cohort WHERE CONCEPT_CD <> 'LAB:0' AND {q.IN_COHORT}", "cl", "cl1", "picked WHERE kind = 'Observation'"),
+    _rows_of("documentreference", "note_cohort"),
+    _rows_of("encounter", "visit_dimension WHERE PATIENT_NUM IN (SELECT PATIENT_NUM FROM cohort_p)"),
+    _rows_of("medicationstatement", "picked WHERE kind = 'MedicationStatement'"),
+    _rows_of("procedure", "picked WHERE kind = 'Procedure'"),
+)), picked=_PICKED))
+def resource_id_uniqueness(w: Warehouse) -> DataFrame:
+    """Rows of each stored table, and rows whose id is not the first of its kind."""
+    out = None
+    for name, df in read_tables(w.spark, w.full_folder, tuple(TABLES)).items():
+        one = df.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
+        ).select(F.lit(name).alias("name"), "rows", "duplicates")
+        out = one if out is None else out.unionByName(one)
+    return out
+
 
 @register(q.query(
     f"SELECT 'Patient/' || {q.patient()} AS reference, {q.patient()} AS reference_id_aa,"
@@ -490,7 +628,7 @@ def extension_path_trim(w: Warehouse) -> DataFrame:
     return paths.selectExpr("event_id", "path", f"{annotate.trim_extension_path('path')} AS trimmed")
 
 
-_FIRST_KEY = f"{q.encounter()} || '|' || cui"
+_FIRST_KEY = q.row_key(q.encounter(), "cui")
 
 
 @register(q.query(
@@ -598,17 +736,24 @@ def asserted_symptoms(w: Warehouse) -> DataFrame:
     return facts.asserted_symptoms(w.tables["observation"], fv.SYMPTOMS_A)
 
 
+# Method and result by lab and classifier label; a side without a row is '-'.
+_OUTCOMES = (
+    "(VALUES ('Positive', '-', 'Lab_test', 'Positive'), ('Positive', 'Positive', 'Lab_test', 'Positive'),"
+    " ('Positive', 'Negative', 'Lab_test', 'Positive'), ('Negative', '-', 'Lab_test', 'Negative'),"
+    " ('Negative', 'Positive', 'Lab_test', 'Negative'), ('Negative', 'Negative', 'Lab_test', 'Negative'),"
+    " ('Unknown', '-', 'Unknown', 'Unavailable'), ('Unknown', 'Positive', 'covid_classifier', 'Positive'),"
+    " ('Unknown', 'Negative', 'covid_classifier', 'Negative'), ('-', 'Positive', 'Unknown', 'Unavailable'),"
+    " ('-', 'Negative', 'Unknown', 'Unavailable')) o(lab_label, cls_label, m, r)"
+)
+_KEYS = (
+    "(SELECT e, p FROM lab UNION SELECT e, p FROM cl1) k"
+    " LEFT JOIN (SELECT e, p, d AS lab_day, coalesce(r, 'Unknown') AS lab_found FROM lab) USING (e, p)"
+    " LEFT JOIN (SELECT e, p, d AS cls_day, r AS cls_found FROM cl1) USING (e, p)"
+)
 _JOINED = (
-    "SELECT coalesce(l.e, c.e) AS e, coalesce(l.p, c.p) AS p, coalesce(l.d, c.d) AS d,"
-    " CASE WHEN lr IN ('Positive', 'Negative') THEN 'Lab_test'"
-    " WHEN lr NOT IN ('Positive', 'Negative') AND cr IN ('Positive', 'Negative') THEN 'covid_classifier'"
-    " WHEN lr = 'Unknown' AND cr NOT IN ('Positive', 'Negative') THEN 'Lab_test' ELSE 'Unknown' END AS m,"
-    " CASE WHEN lr IN ('Positive', 'Negative') THEN lr"
-    " WHEN lr NOT IN ('Positive', 'Negative') AND cr IN ('Positive', 'Negative') THEN cr"
-    " ELSE 'Unavailable' END AS r"
-    " FROM (SELECT e, p, d, coalesce(r, 'Unknown') AS lr FROM lab) l"
-    " FULL JOIN (SELECT e, p, d, r AS cr FROM cl1) c ON l.e = c.e AND l.p = c.p"
-    " WHERE lr IS NOT NULL OR cr IS NOT NULL"
+    "SELECT e, p, coalesce(lab_day, cls_day) AS d, m, o.r AS r FROM"
+    f" (SELECT *, coalesce(lab_found, '-') AS lab_label, coalesce(cls_found, '-') AS cls_label FROM {_KEYS})"
+    f" JOIN {_OUTCOMES} USING (lab_label, cls_label)"
 )
 
 
@@ -728,16 +873,18 @@ def lab_delay_histogram(w: Warehouse) -> DataFrame:
     return reports.lab_delay_histogram(w.tables)
 
 
-@register(q.query("SELECT CAST(NULL AS VARCHAR) AS state FROM pat"))
+@register(q.query(
+    "SELECT STATE_CD AS state FROM patient_dimension WHERE PATIENT_NUM IN (SELECT PATIENT_NUM FROM cohort_p)"
+))
 def patient_states(w: Warehouse) -> DataFrame:
     return reports.patient_states(w.tables["patient"])
 
 
 @register(q.query(
-    "SELECT split_part(CONCEPT_CD, ':', 2) AS code, count(*) AS n FROM diagnosis GROUP BY 1"
+    "SELECT split_part(CONCEPT_CD, ':', 2) AS code, count(*) AS n FROM diagnosis WHERE CONCEPT_CD LIKE '%:%' GROUP BY 1"
 ))
 def code_frequency(w: Warehouse) -> DataFrame:
-    return value_counts(w.extract("diagnosis"), F.split("CONCEPT_CD", ":", 2)[1], "code")
+    return value_counts(w.extract("diagnosis"), F.get(F.split("CONCEPT_CD", ":", 2), F.lit(1)), "code")
 
 
 @register(q.query(
@@ -748,6 +895,16 @@ def row_cap(w: Warehouse) -> DataFrame:
     return cap_rows(w.extract("nlp_mention"), 100, ["row_id"]).select("row_id", "cui", "polarity")
 
 
+@register(q.query(
+    f"SELECT {q.uuid('Observation', q.row_key('PATIENT_NUM', 'ENCOUNTER_NUM', 'CONCEPT_CD', 'START_DATE', 'TVAL_CHAR', 'occurrence'))} AS id"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY PATIENT_NUM, ENCOUNTER_NUM, CONCEPT_CD, START_DATE, TVAL_CHAR)"
+    f" AS occurrence FROM lab_cohort) WHERE CONCEPT_CD <> 'LAB:0' AND {q.IN_COHORT} ORDER BY id LIMIT 100"
+))
+def mapper_row_cap(w: Warehouse) -> DataFrame:
+    """The first mapped resources by id."""
+    return cap_rows(w.lab(), 100, ["id"]).select("id")
+
+
 # --- snapshots -------------------------------------------------------------------------
 
 
@@ -755,18 +912,18 @@ def _day(n: int) -> dt.datetime:
     return dt.datetime(2022, 5, n, tzinfo=dt.timezone.utc)
 
 
-def _snapshots(w: Warehouse) -> str:
+def _snapshots(w: Warehouse, files: int | None = None) -> str:
     """Three commits of the condition table: all, one code, all but that code."""
     path = shared_folder(w.spark)
     rows = w.tables["condition"].selectExpr("id", "code.coding[0].code AS code", "onsetDateTime AS onset")
     for n, part in enumerate((rows, rows.where("code = 'U07.1'"), rows.where("code <> 'U07.1'"))):
-        snapshots.write_snapshot(part, path, _day(10 + 5 * n))
+        snapshots.write_snapshot(part, path, _day(10 + 5 * n), files)
     return path
 
 
 _SNAP = (
-    f"SELECT {q.uuid('Condition', 'ENCOUNTER_NUM || chr(124) || CONCEPT_CD')} AS id,"
-    " split_part(CONCEPT_CD, ':', 2) AS code, substr(START_DATE, 1, 10) AS onset FROM cond"
+    f"SELECT {q.uuid('Condition', q.row_key('ENCOUNTER_NUM', 'CONCEPT_CD'))} AS id,"
+    " nullif(split_part(CONCEPT_CD, ':', 2), '') AS code, substr(START_DATE, 1, 10) AS onset FROM cond"
 )
 
 
@@ -786,8 +943,9 @@ def snapshot_restore_timestamp(w: Warehouse) -> DataFrame:
 
 @register(q.query(
     "SELECT CAST(v AS BIGINT) AS version, o AS operation, CAST(s AS BIGINT) AS source_version,"
-    " CASE s WHEN 0 THEN a ELSE CASE s WHEN 1 THEN u ELSE a - u END END AS rows FROM"
-    " (SELECT count(*) AS a, count(*) FILTER (WHERE CONCEPT_CD = 'ICD10:U07.1') AS u FROM cond),"
+    " CASE s WHEN 0 THEN a ELSE CASE s WHEN 1 THEN u ELSE a - u - plain END END AS rows FROM"
+    " (SELECT count(*) AS a, count(*) FILTER (WHERE CONCEPT_CD = 'ICD10:U07.1') AS u,"
+    " count(*) FILTER (WHERE CONCEPT_CD NOT LIKE '%:%') AS plain FROM cond),"
     " (VALUES (0, 'write', 0), (1, 'write', 1), (2, 'write', 2), (3, 'restore', 0)) t(v, o, s)"
 ))
 def snapshot_history(w: Warehouse) -> DataFrame:
@@ -798,9 +956,19 @@ def snapshot_history(w: Warehouse) -> DataFrame:
     )
 
 
-@register()
+@register(q.query(
+    "SELECT CAST(1 AS BIGINT) AS files, 'version=2' AS folder, count(*) AS rows FROM cond"
+    " WHERE CONCEPT_CD LIKE '%:%' AND CONCEPT_CD <> 'ICD10:U07.1'"
+))
 def manifest(w: Warehouse) -> DataFrame:
-    return snapshots.manifest(w.spark, _snapshots(w))
+    """The manifest of the newest version as a text file, and the rows of the files it lists."""
+    path = _snapshots(w, files=1)
+    target = shared_folder(w.spark)
+    snapshots.write_manifest(w.spark, path, target)
+    listed = w.spark.read.text(target).selectExpr("value AS file", "regexp_extract(value, '/(version=[0-9]+)/', 1) AS folder")
+    rows = w.spark.read.parquet(*[r["file"] for r in listed.collect()]).agg(F.count(F.lit(1)).alias("rows"))
+    kinds = listed.groupBy("folder").agg(F.count(F.lit(1)).alias("files"))
+    return kinds.withColumn("one", F.lit(1)).join(rows.withColumn("one", F.lit(1)), "one").select("files", "folder", "rows")
 
 
 # --- sharing ---------------------------------------------------------------------------
@@ -826,7 +994,7 @@ _DIMS8 = _S8.split(", ")
     for d in _DIMS8
 ), **_V81), name="cube_meta")
 def _cube_meta(w: Warehouse) -> DataFrame:
-    return cube_meta(symptom_cube_v81(w), _DIMS8, "symptoms")
+    return cube_meta(read_cube(w.spark, w.cube_folder), _DIMS8, "symptoms")
 
 
 @register(q.query(" UNION ALL ".join(
@@ -834,7 +1002,7 @@ def _cube_meta(w: Warehouse) -> DataFrame:
     f" WHERE {d} IS NOT NULL" for d in _DIMS8
 ), **_V81), name="cube_levels")
 def _cube_levels(w: Warehouse) -> DataFrame:
-    return cube_levels(symptom_cube_v81(w), _DIMS8, "symptoms")
+    return cube_levels(read_cube(w.spark, w.cube_folder), _DIMS8, "symptoms")
 
 
 @register(q.query(
@@ -842,5 +1010,5 @@ def _cube_levels(w: Warehouse) -> DataFrame:
     f" WHERE {_RECENT} AND gender = 'female' GROUP BY ALL", **_V81,
 ), name="cube_slice")
 def _cube_slice(w: Warehouse) -> DataFrame:
-    cube = symptom_cube_v81(w)
-    return cube_slice(cube, _DIMS8, ["symptoms", "age_group"], {"gender": "female"})
+    cube = read_cube(w.spark, w.cube_folder)
+    return slice_stored(cube, _DIMS8, ["symptoms", "age_group"], {"gender": "female"})

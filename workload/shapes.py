@@ -15,6 +15,8 @@ from cohortloom import schemas
 from cohortloom.functions import fixed_values as fv
 from cohortloom.operators import mentions as m
 from cohortloom.operators import resources as r
+from cohortloom.operators.cube import store_cube
+from cohortloom.plans import reports
 from cohortloom.plans.pipeline import assign_ids, build_store, load_ids, read_tables
 from cohortloom.session import configure, shared_folder
 
@@ -32,13 +34,14 @@ _PROP = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % 9"
 
 # name: (left table, right table, join condition, projected expressions)
 SHAPES = {
-    "patient_dimension": ("customer", None, None, [
+    "patient_dimension": ("customer", "nation", "c_nationkey = n_nationkey", [
         "CAST(c_custkey AS STRING) AS PATIENT_NUM",
         "CASE c_custkey % 4 WHEN 0 THEN 'F' WHEN 1 THEN 'M' WHEN 2 THEN 'U' END AS SEX_CD",
         "CASE c_nationkey % 6 WHEN 0 THEN 'White' WHEN 1 THEN 'Black or African American'"
         " WHEN 2 THEN 'Asian' WHEN 3 THEN 'Hispanic or Latino' WHEN 4 THEN 'Declined' END AS RACE_CD",
         "concat(CAST(1910 + c_custkey % 90 AS STRING), '-06-15 00:00:00') AS BIRTH_DATE",
         "lpad(CAST(c_custkey % 1000 AS STRING), 5, '0') AS ZIP_CD",
+        "n_name AS STATE_CD",
     ]),
     "visit_dimension": ("orders", None, None, [
         "CAST(o_orderkey AS STRING) AS ENCOUNTER_NUM",
@@ -51,7 +54,7 @@ SHAPES = {
         "CAST(l_orderkey AS STRING) AS ENCOUNTER_NUM",
         "CAST(o_custkey AS STRING) AS PATIENT_NUM",
         "CASE l_partkey % 8 WHEN 0 THEN 'ICD10:U07.1' WHEN 1 THEN 'ICD10:E66.9'"
-        " WHEN 2 THEN 'ICD9:079.89' WHEN 3 THEN 'LOCAL:X1'"
+        " WHEN 2 THEN 'ICD9:079.89' WHEN 3 THEN 'LOCAL:X1' WHEN 4 THEN 'UNCODED'"
         " ELSE concat('ICD10:J', CAST(l_partkey % 8 AS STRING)) END AS CONCEPT_CD",
         f"concat({_later('l_partkey % 6')}, ' 09:00:00') AS START_DATE",
     ]),
@@ -114,8 +117,8 @@ _BUILT: set[str] = set()
 class Warehouse:
     """Extracts, id maps and resources over one folder of the given tables.
 
-    Id maps and stored tables are written once per application to the shared folder, and
-    again when the given files change. Everything else is lazy.
+    Id maps and stored tables are written once per application to the shared folder.
+    Everything else is lazy.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -133,13 +136,8 @@ class Warehouse:
 
     @cached_property
     def folder(self) -> str:
-        """Folder of this data's id maps and tables, named after the state of its files."""
-        glob = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/*.parquet")
-        files = glob.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(glob)
-        state = tuple(sorted(
-            (f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files
-        ))
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, state)
+        """Folder of this data's id maps and tables in this application."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _STORES:
             _STORES[key] = shared_folder(self.spark)
         return _STORES[key]
@@ -174,9 +172,7 @@ class Warehouse:
         )
 
     def document(self) -> DataFrame:
-        return r.map_document_reference(
-            self.extract("note_cohort"), self.patients, self.encounters, SALT, row_key=["row_id"]
-        )
+        return r.map_document_reference(self.extract("note_cohort"), SALT, ["row_id"])
 
     def encounter(self) -> DataFrame:
         return r.map_encounter(self.extract("visit_dimension"), self.patients, self.encounters, SALT)
@@ -191,14 +187,17 @@ class Warehouse:
             self.patients, self.encounters, SALT, order=["row_id"], tag=tag,
         )
 
-    def annotated(self, symptom_only: bool = True) -> DataFrame:
-        """Mentions as annotated notes: one record per mention, two coded concepts each."""
+    def annotated(self, symptom_only: bool = True, uncoded: int = 0) -> DataFrame:
+        """Mentions as annotated notes: one record per mention, two coded concepts each.
+
+        Every ``uncoded``-th mention has no concept.
+        """
         sem_type = "'SignSymptomMention'" if symptom_only else "sem_type"
         record = (
             "named_struct('begin', begin_pos, 'end', end_pos, 'text', mention_text,"
-            " 'polarity', polarity, 'conceptAttributes', array("
+            f" 'polarity', polarity, 'conceptAttributes', IF({f'row_id % {uncoded} = 0' if uncoded else 'false'}, array(), array("
             "named_struct('code', snomed_code, 'cui', cui, 'tui', 'T184', 'scheme', 'SNOMEDCT_US'),"
-            "named_struct('code', concat('RX', snomed_code), 'cui', cui, 'tui', 'T121', 'scheme', 'RXNORM')))"
+            "named_struct('code', concat('RX', snomed_code), 'cui', cui, 'tui', 'T121', 'scheme', 'RXNORM'))))"
         )
         blob = f"CAST(map({sem_type}, array({record})) AS {schemas.ANNOTATIONS.simpleString()})"
         raw = self.extract("nlp_mention").selectExpr(
@@ -215,21 +214,54 @@ class Warehouse:
 
     # --- stored tables ---
 
+    @cached_property
+    def full_folder(self) -> str:
+        """Tables of all mention types, every eleventh mention without a code, and rejects."""
+        folder = self.folder + "-all"
+        if folder not in _BUILT:
+            _, unmapped = self.annotated_by_labels("nlp_mention")
+            self.build(folder, self.annotated(False, 11), types=fv.ALL_MENTION_TYPES, rejects={"note_ids": unmapped})
+            _BUILT.add(folder)
+        return folder
+
+    def annotated_by_labels(self, notes: str) -> tuple[DataFrame, DataFrame]:
+        """Rows of an extract as notes with the labels as annotations, and those without ids."""
+        mention = (
+            "named_struct('begin', 0, 'end', 1, 'text', 'label', 'polarity', -toxic, 'conceptAttributes',"
+            " array(named_struct('code', '49727002', 'cui', 'C0010200', 'tui', 'T184', 'scheme', 'SNOMEDCT_US')))"
+        )
+        blob = f"CAST(map('SignSymptomMention', array({mention})) AS {schemas.ANNOTATIONS.simpleString()})"
+        annotations = self.table("labels").selectExpr("doc_id AS row_id", f"{blob} AS OBSERVATION_BLOB")
+        return m.annotate_notes(self.extract(notes), annotations, "row_id", self.patients, self.encounters)
+
+    @cached_property
+    def cube_folder(self) -> str:
+        """The symptom cube as a stored table."""
+        folder = self.folder + "-cube"
+        if folder not in _BUILT:
+            store_cube(reports.symptom_cube_v81(self.tables, AS_OF, 1996, grouping_id=True), folder)
+            _BUILT.add(folder)
+        return folder
+
+    def build(self, folder: str, annotated: DataFrame, **more) -> None:
+        results = self.extract("classifier_prediction")
+        build_store(
+            {name: self.extract(name) for name in SHAPES if name != "classifier_prediction"},
+            annotated, folder, SALT,
+            order={
+                "note_cohort": ["row_id"], "diagnosis": ["START_DATE"],
+                "classifier_results": ["row_id"], "annotated": ["row_id"],
+            },
+            classifiers={
+                fv.CLASSIFIER_202204: results,
+                fv.CLASSIFIER_V1: results.withColumn("PREDICTION", F.col("V1_PREDICTION")),
+            },
+            **more,
+        )
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         if self.folder not in _BUILT:
-            results = self.extract("classifier_prediction")
-            build_store(
-                {name: self.extract(name) for name in SHAPES if name != "classifier_prediction"},
-                self.annotated(), self.folder, SALT,
-                order={
-                    "note_cohort": ["row_id"], "diagnosis": ["START_DATE"],
-                    "classifier_results": ["row_id"], "annotated": ["row_id"],
-                },
-                classifiers={
-                    fv.CLASSIFIER_202204: results,
-                    fv.CLASSIFIER_V1: results.withColumn("PREDICTION", F.col("V1_PREDICTION")),
-                },
-            )
+            self.build(self.folder, self.annotated())
             _BUILT.add(self.folder)
         return read_tables(self.spark, self.folder)

@@ -13,6 +13,13 @@ def uuid(kind: str, key: str) -> str:
     return rf"regexp_replace({digest}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '\1-\2-\3-\4-')"
 
 
+def row_key(*columns: str) -> str:
+    """Each value after its length, NULL as a dash."""
+    return " || ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns
+    )
+
+
 def patient(key: str = "PATIENT_NUM") -> str:
     return uuid("Patient", key)
 
