@@ -27,12 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import text_of
+from cohortloom.llm.common import text_of, worker_state
 
 #: Characters of text, bytes of new words and tokens that are handled at a time.
 TEXT_CHARS = 2_000_000
 WORD_BYTES = 400_000
-DECODE_TOKENS = 500_000
+DECODE_TOKENS = 250_000
 #: Encoded words that a worker keeps between texts and partitions, in two generations: words
 #: met again move to the younger one, and a full one pushes the older one out.
 KEPT_WORDS = 1_000_000
@@ -184,14 +184,9 @@ class Engine:
         return out
 
 
-ENGINES: dict[tuple[str, str], Engine] = {}
-
-
 def engine(path: str, pattern: str) -> Engine:
     """The worker's engine for a rank file; kept between partitions."""
-    if (path, pattern) not in ENGINES:
-        ENGINES[path, pattern] = Engine(path, pattern)
-    return ENGINES[path, pattern]
+    return worker_state(("byte_bpe", path, pattern), lambda: Engine(path, pattern))
 
 
 def _groups(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -230,6 +225,33 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     return slim.mapInArrow(run, f"id {kind}, ids array<int>, ids_sha256 string").withColumnRenamed("id", id_col)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) per row: encoded, and the ids decoded, in one worker."""
+    slim = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = engine(path, pattern)
+        decimal = own.decimal.__getitem__
+        for batch in batches:
+            sizes = batch.column(1).to_pandas().str.len().tolist()
+            counts, of_ids, of_bytes = [], [], []
+            for a, b in _groups(sizes, TEXT_CHARS):
+                ids = [np.frombuffer(x, "<i4") for x in own.encode(batch.column(1).slice(a, b - a).to_pylist())]
+                counts += map(len, ids)
+                of_ids += (hashlib.sha256(",".join(map(decimal, x.tolist())).encode()).hexdigest() for x in ids)
+                for x, y in _groups([len(i) for i in ids], DECODE_TOKENS):
+                    part = ids[x:y]
+                    data = own.decode(np.concatenate(part), np.cumsum([len(i) for i in part]))
+                    of_bytes += (hashlib.sha256(d).hexdigest() for d in data)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = slim.schema["id"].dataType.simpleString()
+    return slim.mapInArrow(
+        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+
+
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the ids' bytes in place of the ids."""
     rest = [c for c in encoded.columns if c != ids_col]

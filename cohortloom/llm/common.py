@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.session import shared_folder
+
 # Fixed value: white space in the contracts of the text operators.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared folder.
+#: What this Python worker keeps between tasks.
+_STATE: dict[object, object] = {}
+
+
+def worker_state(key: object, make: Callable[[], object]):
+    """State that a Python worker keeps between tasks, of one operator at a time.
 
-    ``spark.checkpoint.dir`` names it. Where it is unset, as in tests, the session's
-    warehouse, which Spark shares as well, holds the working files.
+    Workers outlive a stage; the next operator to run in one releases what the last one kept.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
 
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
-    folder = work_folder(df.sparkSession)
+    folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

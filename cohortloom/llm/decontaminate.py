@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import text_of
+from cohortloom.llm.common import text_of, worker_state
 
 K1, B = 1.2, 0.75
 #: Share of an item's score against itself that a passage must reach to be verified.
@@ -244,6 +244,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         shared = docs.sparkSession.sparkContext.broadcast(index)  # one chunk of items
 
         def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            worker_state("decontaminate", dict)
             index = shared.value
             for batch in batches:
                 texts = (text.as_py() for text in batch.column(1))
@@ -272,6 +273,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         at = docs.columns.index(text_col)
 
         def clean(batches: Iterable[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
+            worker_state("decontaminate", dict)
             for batch in batches:
                 texts = (text.as_py() or "" for text in batch.column(at))
                 yield batch.filter(pa.array([not found for found in matches(shared.value, texts)], pa.bool_()))

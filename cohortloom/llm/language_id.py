@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import text_of
+from cohortloom.llm.common import text_of, worker_state
 
 BUCKET_BITS = 14
 NGRAMS = 4
@@ -196,6 +196,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed rows, a column per label
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language_id", dict)
         for batch in batches:
             rows = [shared.value.predict(text.as_py()) for text in batch.column(1)]
             langs, scores, accepted = zip(*rows) if rows else ((), (), ())

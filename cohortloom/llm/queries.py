@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, token_files, toxicity, url_filter
-from cohortloom.llm.common import documents, work_folder
+from cohortloom.llm.common import documents
+from cohortloom.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,9 +27,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Encodes and decodes every text; ids and bytes as digests."""
-    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(docs, path, pattern).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "ids")
-    return byte_bpe.decode(encoded, path, pattern).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return byte_bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +61,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     token_files.write_ids(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read_ids(spark, folder).select(
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

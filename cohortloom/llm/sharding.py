@@ -17,7 +17,8 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import settled, text_of, work_folder
+from cohortloom.llm.common import settled, text_of
+from cohortloom.session import shared_folder
 
 SLOTS = 4096
 SHARDS = 40
@@ -116,7 +117,7 @@ def shard_records(
     own slot, so that records are ranked within a slot, never within a whole shard.
     """
     spark = docs.sparkSession
-    folder = folder or work_folder(spark)
+    folder = folder or shared_folder(spark)
     records = settled(sized(docs, slots, id_col, text_col))
     stats = slot_bytes(records).collect()  # one row per slot at most
     load = {r["v_slot"]: r["bytes"] for r in stats}

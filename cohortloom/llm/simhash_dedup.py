@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import settled, text_of
+from cohortloom.llm.common import settled, text_of, worker_state
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -62,6 +62,7 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_state("simhash_dedup", dict)
     for batch in batches:
         prints = np.fromiter((fingerprint(t.as_py()) for t in batch.column(2)), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays(

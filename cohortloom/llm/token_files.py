@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import text_of
+from cohortloom.llm.common import text_of, worker_state
 
 MAGIC = b"TIDS1"
 BLOCK_IDS = 2048
@@ -286,7 +286,7 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 # --- tokenizer ---------------------------------------------------------------------------
 
 #: Encoded stretches that a worker keeps, in two generations as in the byte-level encoder.
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 800_000
 #: White space to str.split, but not to the tokenizer, which drops white space between words.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 GAPS = re.compile(r"[ \t\n\r]+")
@@ -341,7 +341,8 @@ class Words:
             (plain if single else others).append(chunk)
         for at in range(0, len(plain), JOINED):
             some = plain[at:at + JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
             ends = np.nonzero(self.ends[ids])[0] + 1
             if len(ends) != len(some) or ends[-1] != len(ids):
                 others += some
@@ -350,18 +351,13 @@ class Words:
             self.kept.update((word, raw[a:b]) for word, a, b in zip(some, [0, *ends], ends))
         for at in range(0, len(others), JOINED):
             some = others[at:at + JOINED]
-            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self.kept[chunk] = np.array(found.ids, "<u4").tobytes()
 
 
-WORDS: dict[str, Words] = {}
-
-
 def words(path: str) -> Words:
     """The worker's tokenizer; kept between partitions."""
-    if path not in WORDS:
-        WORDS[path] = Words(path)
-    return WORDS[path]
+    return worker_state(("token_files", path), lambda: Words(path))
 
 
 # --- on Spark ----------------------------------------------------------------------------

@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import settled, text_of
+from cohortloom.llm.common import settled, text_of, worker_state
 
 #: Bound of the training sample: rows per class.
 ROWS_PER_CLASS = 3000
@@ -46,7 +48,7 @@ STEPS, RATE, RIDGE = 400, 0.1, 1.0
 #: A score from here on is toxic.
 THRESHOLD = 0.3
 #: Words whose tokens a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 SCALE = 100.0  # word shares in percent
@@ -73,17 +75,24 @@ class Voters:
         self.words = {word: k for k, word in enumerate(words)}
         self.starts = {start: len(words) + k for k, start in enumerate(starts)}
         self.tokens = len(words) + len(starts)
+        self.name = uuid.uuid4().hex
         self.kept: dict[str, tuple[int, ...]] = {}
 
-    def __getstate__(self):
-        return self.__dict__ | {"kept": {}}
+    @contextmanager
+    def keeping(self):
+        """In a task: words seen are kept in the worker's state, not in the shared object."""
+        self.kept = worker_state(("toxicity", self.name), dict)
+        try:
+            yield
+        finally:
+            self.kept = {}
 
     def tokens_of(self, word: str) -> tuple[int, ...]:
         """Numbers of the mined tokens in a word."""
         found = self.kept.get(word)
         if found is None:
             if len(self.kept) > KEPT_WORDS:
-                self.kept = {}
+                self.kept.clear()
             own = (self.words[word],) if word in self.words else ()
             found = self.kept[word] = own + tuple(self.starts[b] for b in beginnings(word) if b in self.starts)
         return found
@@ -170,6 +179,9 @@ class Model:
     weights: np.ndarray | None  # per mined token, then per vote
     bias: float
 
+    def task(self):
+        return self.voters.keeping() if self.voters else nullcontext()
+
     def score(self, text: str | None) -> float:
         logit = self.bias
         if self.voters:
@@ -242,13 +254,14 @@ def mine(sample: DataFrame, toxic: int, clean: int) -> Voters:
 
 def _observed(voters: Voters):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = [voters.observe(text) for text in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([votes for votes, _, _ in seen], pa.list_(pa.int32())),
-                 pa.array([list(tokens) for _, tokens, _ in seen], pa.list_(pa.int32())),
-                 pa.array([[SCALE * times / n for times in tokens.values()] for _, tokens, n in seen], pa.list_(pa.float64()))],
-                ["hash", "toxic", "votes", "tokens", "shares"])
+        with voters.keeping():
+            for batch in batches:
+                seen = [voters.observe(text) for text in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array([votes for votes, _, _ in seen], pa.list_(pa.int32())),
+                     pa.array([list(tokens) for _, tokens, _ in seen], pa.list_(pa.int32())),
+                     pa.array([[SCALE * times / n for times in tokens.values()] for _, tokens, n in seen], pa.list_(pa.float64()))],
+                    ["hash", "toxic", "votes", "tokens", "shares"])
 
     return run
 
@@ -298,9 +311,10 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [shared.value.score(text.as_py()) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
+        with shared.value.task():
+            for batch in batches:
+                scores = [shared.value.score(text.as_py()) for text in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
 
     kind = slim.schema["id"].dataType.simpleString()
     return slim.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
@@ -311,7 +325,8 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([shared.value.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_()))
+        with shared.value.task():
+            for batch in batches:
+                yield batch.filter(pa.array([shared.value.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -53,6 +53,21 @@ def test_any_text(texts):
     assert own.decode(flat, np.cumsum([len(x) for x in ids], dtype=np.int64)) == [t.encode() for t in texts]
 
 
+def test_long_words(theirs, monkeypatch):
+    rng = random.Random(5)
+    own = b.Engine(PATH, PATTERN)
+    monkeypatch.setattr(b, "LONG_ROUNDS", 3)  # several queries for one word
+    texts = [
+        "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(5000)), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4000)),
+        "thanthing" * 60, "a" * 5000, "e" * 65, "".join(rng.choice("abcé日ßü") for _ in range(900)),
+    ]
+    assert [np.frombuffer(x, "<i4").tolist() for x in own.encode(texts)] == [theirs.encode_ordinary(t) for t in texts]
+    for text in texts:
+        data = text.encode()
+        parts = own.pieces(data)
+        assert b"".join(parts) == data and all(parts)
+
+
 def test_generations_keep_results(monkeypatch, theirs):
     own = b.Engine(PATH, PATTERN)
     monkeypatch.setattr(b, "KEPT_WORDS", 8)
@@ -69,6 +84,12 @@ def test_table(docs_of, theirs):
     assert sorted((repr(r["doc_id"]), ",".join(map(str, r["ids"]))) for r in rows) == want
     assert all(hashlib.sha256(",".join(map(str, r["ids"])).encode()).hexdigest() == r["ids_sha256"] for r in rows)
     assert sorted((repr(r["doc_id"]), bytes(r["decoded"])) for r in back) == sorted((repr(i), (t or "").encode()) for i, t in ODD)
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    whole = b.round_trip(docs_of(ODD), PATH, PATTERN).collect()
+    assert sorted((repr(r["doc_id"]), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in whole) == sorted(
+        (repr(i), len(theirs.encode_ordinary(t or "")), digest(",".join(map(str, theirs.encode_ordinary(t or ""))).encode()), digest((t or "").encode()))
+        for i, t in ODD)
+    assert b.round_trip(docs_of([]), PATH, PATTERN).count() == 0
     assert b.decode(b.encode(docs_of([]), PATH, PATTERN), PATH, PATTERN).count() == 0
 
 

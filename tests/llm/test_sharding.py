@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cohortloom.llm import sharding as s
-from cohortloom.llm.common import work_folder
+from cohortloom.session import shared_folder
 from tests.llm.conftest import ODD
 
 
@@ -27,7 +27,7 @@ def test_bytes_are_near_equal(docs_of):
 
 
 def test_versions(spark):
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     load = {slot: 10 + slot % 5 for slot in range(64)}
     s.publish_map(spark, folder, 1, s.first_map(load, 64, 4), load)
     grown = {r["slot"]: r["shard"] for r in s.rebalance(spark, folder, 1, load, 5).collect()}
@@ -51,7 +51,7 @@ def test_empty_table(docs_of):
 
 
 def test_files(docs_of, spark):
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     load = {k: 1 for k in range(16)}
     s.publish_map(spark, folder, 1, s.first_map(load, 16, 3), load)
     docs = docs_of(ODD)

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cohortloom.llm import token_files as t
-from cohortloom.llm.common import documents, work_folder
+from cohortloom.llm.common import documents
+from cohortloom.session import shared_folder
 from tests.llm.conftest import ODD
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -83,7 +84,7 @@ def test_any_text(texts):
 @pytest.mark.parametrize("segment_ids", [1, 50, t.SEGMENT_IDS])
 def test_files(spark, docs_of, theirs, segment_ids):
     pairs = [*ODD, *[(100 + k, f"text number {k} " * (k % 9)) for k in range(80)]]
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     t.write_ids(docs_of(pairs), folder, PATH, 2, segment_ids=segment_ids)
     rows = sorted(t.read_ids(spark, folder).collect(), key=lambda r: r["start"])
     order = sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or ""))
@@ -96,7 +97,7 @@ def test_files(spark, docs_of, theirs, segment_ids):
 
 
 def test_empty_table(spark, docs_of):
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     t.write_ids(docs_of([]), folder, PATH, 2)
     assert t.read_ids(spark, folder).count() == 0
 

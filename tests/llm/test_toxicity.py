@@ -18,7 +18,7 @@ def test_label_model_finds_accuracies_and_correlations():
     model = x.fit_label_model(votes, np.where(votes[:, 0] == x.TOXIC, 0.8, 0.2), 0.3)
     assert np.abs(model.table[:3, x.TOXIC, 1] - hit[:3]).max() < 0.1
     assert np.abs(model.table[:3, x.TOXIC, 0] - false[:3]).max() < 0.1
-    assert model.share[3] < 0.6 and model.share[4] < 0.6 and model.share[:3].min() > 0.75
+    assert max(model.share[3:]) < 0.6 and model.share[:3].min() > max(model.share[3:]) + 0.1
     assert ((model.posterior(votes) > 0.5) == y).mean() > 0.9
 
 
