@@ -23,6 +23,7 @@ def struct_of(kind: T.StructType, values: Mapping[str, str]) -> str:
 
 _CODING = T.StructType(schemas.CODING_FIELDS)
 _CONCEPT = schemas.element_struct(schemas.concept("x"))
+_CODED = schemas.element_struct(schemas.coded("x"))
 _INNER_EXTENSION = T.StructType(schemas.INNER_EXTENSION_FIELDS)
 _EXTENSION = T.StructType(schemas.EXTENSION_FIELDS)
 
@@ -54,6 +55,11 @@ def concept_of(codings: str) -> str:
     return struct_of(_CONCEPT, {"coding": codings})
 
 
+def coded(codings: str) -> str:
+    """CodeableConcept of a field that may carry extensions, around an array of codings."""
+    return struct_of(_CODED, {"coding": codings})
+
+
 def reference(ref: str) -> str:
     return f"named_struct('reference', {ref})"
 

@@ -64,6 +64,30 @@ def allow_plan(resource: str, rules: Iterable[Rule]) -> dict:
     return _plan(schemas.RESOURCES[resource], resource, resource, paths, types)
 
 
+def unmatched_rules(rules: Iterable[Rule]) -> list[Rule]:
+    """Rules that name no field of any resource: mistyped, or for data that is not modelled."""
+    paths, types = set(), set()
+
+    def walk(struct: T.StructType, prefix: str) -> None:
+        for field in struct.fields:
+            kind, inner = schemas.fhir_type(field), schemas.element_struct(field)
+            paths.add(f"{prefix}.{field.name}")
+            types.add((kind, None))
+            if inner is not None:
+                types.update((kind, f.name) for f in inner.fields)
+                walk(inner, f"{prefix}.{field.name}")
+
+    for name, schema in schemas.RESOURCES.items():
+        walk(schema, name)
+    out = []
+    for rule in rules:
+        by_type = _BY_TYPE.match(rule[0])
+        known = (by_type.group(1), by_type.group(2)) in types if by_type else rule[0] in paths
+        if not known:
+            out.append(rule)
+    return out
+
+
 def kept_leaves(resource: str, rules: Iterable[Rule]) -> list[str]:
     """Dotted leaf paths the rules keep, for review."""
 
@@ -107,12 +131,19 @@ def _project(prefix: str, struct: T.StructType, plan: dict, depth: int = 0) -> l
 
 
 def project_allowed(
-    df: DataFrame, resource: str, rules: Iterable[Rule] | None = None
+    df: DataFrame, resource: str, rules: Iterable[Rule] | None = None, base: Iterable[Rule] = (),
 ) -> DataFrame:
     """Keep only what the rules list; a listed inner node keeps its whole subtree.
 
+    ``rules`` extend the ``base`` rules of a site and override them by path, so that a base
+    may keep codes which the extension leaves alone. A rule that names no field is an error.
     A plain projection, so dropped leaves are never read from columnar storage.
     """
-    plan = allow_plan(resource, default_rules() if rules is None else rules)
+    own = default_rules() if rules is None else list(rules)
+    merged = list({rule[0]: rule for rule in [*base, *own]}.values())
+    unknown = unmatched_rules(merged)
+    if unknown:
+        raise ValueError(f"rules without a field: {[path for path, _, _ in unknown]}")
+    plan = allow_plan(resource, merged)
     kept = _project("", schemas.RESOURCES[resource], plan)
     return df.selectExpr(*[f"{value} AS `{name}`" for name, value in kept])

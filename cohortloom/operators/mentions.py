@@ -101,7 +101,7 @@ def mention_codes(mention: str) -> str:
 
 
 def _values(kind: str, salt: str, id_key: Sequence[str]) -> dict[str, str]:
-    coded = n.concept_of(mention_codes("mention"))
+    coded = n.coded(mention_codes("mention"))
     values = {
         "id": scalars.pseudonym(kind, scalars.row_key(id_key), salt),
         "subject": SUBJECT_REF,

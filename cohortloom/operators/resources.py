@@ -80,9 +80,9 @@ def map_condition(
         "category": n.array(n.concept(
             n.fixed_coding(fv.CONDITION_CATEGORY, "encounter-diagnosis", "Encounter Diagnosis")
         )),
-        "code": n.concept(n.coding(
+        "code": n.coded(n.array(n.coding(
             codes.diagnosis_system("CONCEPT_CD"), codes.diagnosis_code("CONCEPT_CD")
-        )),
+        ))),
         "subject": SUBJECT_REF,
         "encounter": ENCOUNTER_REF,
         "onsetDateTime": scalars.day("START_DATE"),
@@ -112,7 +112,7 @@ def map_lab_observation(
         "category": n.array(n.concept(
             n.fixed_coding(fv.OBSERVATION_CATEGORY, "laboratory", "laboratory")
         )),
-        "code": n.concept(n.coding(text(fv.LOINC), codes.lab_loinc("CONCEPT_CD"))),
+        "code": n.coded(n.array(n.coding(text(fv.LOINC), codes.lab_loinc("CONCEPT_CD")))),
         "subject": SUBJECT_REF,
         "encounter": ENCOUNTER_REF,
         "effectiveDateTime": scalars.day("START_DATE"),
@@ -230,7 +230,7 @@ def map_classifier(
         "category": n.array(n.concept(
             n.fixed_coding(fv.CLASSIFIER_CATEGORY_SYSTEM, "laboratory", "laboratory")
         )),
-        "code": n.concept(n.fixed_coding(fv.LOINC, fv.CLASSIFIER_LOINC)),
+        "code": n.coded(n.array(n.fixed_coding(fv.LOINC, fv.CLASSIFIER_LOINC))),
         "subject": SUBJECT_REF,
         "encounter": ENCOUNTER_REF,
         "effectiveDateTime": scalars.day("START_DATE"),

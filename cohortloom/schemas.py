@@ -58,6 +58,7 @@ EXTENSION_VALUES = [
     prim("valueCode", "code"),
     prim("valueDate", "date"),
     coding("valueCoding"),
+    concept("valueCodeableConcept"),
 ]
 INNER_EXTENSION_FIELDS = [prim("url", "uri"), *EXTENSION_VALUES]
 EXTENSION_FIELDS = [
@@ -72,6 +73,12 @@ def extension(name: str) -> T.StructField:
     return nested(name, "Extension", EXTENSION_FIELDS, True)
 
 
+def coded(name: str) -> T.StructField:
+    """A concept that may say where in a text it was found."""
+    fields = [coding("coding", True), prim("text", "string"), extension("extension")]
+    return nested(name, "CodeableConcept", fields)
+
+
 def identifier() -> T.StructField:
     fields = [prim("use", "code"), prim("system", "uri"), prim("value", "string")]
     return nested("identifier", "Identifier", fields, True)
@@ -99,10 +106,13 @@ RESOURCES: dict[str, T.StructType] = {
         concept("clinicalStatus"),
         concept("verificationStatus"),
         concept("category", True),
-        concept("code"),
+        coded("code"),
         reference("subject"),
         reference("encounter"),
         prim("onsetDateTime", "dateTime"),
+        nested("onsetAge", "Age", [
+            prim("value", "decimal"), prim("unit", "string"), prim("system", "uri"), prim("code", "code"),
+        ]),
         *NLP_TAIL,
     ]),
     "Observation": T.StructType([
@@ -110,7 +120,7 @@ RESOURCES: dict[str, T.StructType] = {
         nested("text", "Narrative", [prim("status", "code"), prim("div", "string")]),
         prim("status", "code"),
         concept("category", True),
-        concept("code"),
+        coded("code"),
         reference("subject"),
         reference("encounter"),
         prim("effectiveDateTime", "dateTime"),
@@ -144,14 +154,14 @@ RESOURCES: dict[str, T.StructType] = {
     "MedicationStatement": T.StructType([
         *HEAD,
         prim("status", "code"),
-        concept("medicationCodeableConcept"),
+        coded("medicationCodeableConcept"),
         reference("subject"),
         *NLP_TAIL,
     ]),
     "Procedure": T.StructType([
         *HEAD,
         prim("status", "code"),
-        concept("code"),
+        coded("code"),
         reference("subject"),
         *NLP_TAIL,
     ]),

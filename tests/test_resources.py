@@ -222,7 +222,13 @@ def test_stored_schema_of_every_resource(spark):
 
 def test_allow_list(spark):
     rules = deidentify.default_rules()
-    assert len(rules) == 61 - 1 or len(rules) == 61
+    assert len(rules) == 60 and deidentify.unmatched_rules(rules) == []
+    for wrong in ("Patient.gendre", "nodesByType('Codeing').display", "nodesByType('Coding').displayed", "Unknown.id"):
+        assert deidentify.unmatched_rules([(wrong, "keep", "x")]) == [(wrong, "keep", "x")]
+        with pytest.raises(ValueError, match="without a field"):
+            deidentify.project_allowed(spark.createDataFrame([], schemas.RESOURCES["Patient"]), "Patient", [(wrong, "keep", "x")])
+    base = [("Patient.gender", "keep", "x"), ("Patient.id", "drop", "x")]
+    assert deidentify.project_allowed(spark.createDataFrame([], schemas.RESOURCES["Patient"]), "Patient", [("Patient.id", "keep", "y")], base).columns == ["id", "gender"]
     kept = deidentify.kept_leaves("Patient", rules)
     assert "id" in kept and "birthDate" in kept and "gender" not in kept
     assert "extension.extension.valueCoding.code" in kept and "address.postalCode" not in kept
