@@ -4,8 +4,10 @@ A partition's texts are cut into words by the tokenizer's pattern, each distinct
 encoded once, and words go back into their texts by look-up. Words start as one row per byte:
 (word, position, token). A recursive query joins neighbouring tokens with the merge table,
 contracts each word's leftmost pair of the smallest rank, and ends when no word has a pair
-left. Long words contract all their pairs of that rank at once, from the left, where no token
-that a merge makes can take part in a merge of smaller rank; the ids are the same.
+left. Long words are first cut where no vocabulary token that they contain crosses; pieces that
+are still long contract all their pairs of that rank at once, from the left, where no token that
+a merge makes can take part in a merge of smaller rank. The ids are the same. An unbroken run of
+many thousand letters in which such cuts are rare stays slow, but not large.
 
 Decoding joins token rows with the vocabulary and concatenates bytes by an ordered aggregation.
 
@@ -20,6 +22,7 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,10 @@ DECODE_TOKENS = 250_000
 #: Encoded words that a worker keeps between texts and partitions, in two generations: words
 #: met again move to the younger one, and a full one pushes the older one out.
 KEPT_WORDS = 1_000_000
-#: Words of more bytes contract all pairs of their smallest rank at once.
+#: Words of more bytes are cut where no token can lie; what is still longer contracts all pairs of
+#: its smallest rank at once, so many rounds to a query.
 LONG_WORD = 64
+LONG_ROUNDS = 40
 
 # One contraction per word and round: the leftmost pair of the smallest rank. Each row holds
 # its right neighbour and the rank of both joined. A contraction changes its own row and its
@@ -65,13 +70,15 @@ WITH RECURSIVE state(w, pos, tok, npos, ntok, merged, done) AS (
     FROM made m LEFT JOIN merges g ON g.pair = CASE WHEN fresh THEN (m.tok::BIGINT << 32) | m.ntok END))
 SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w"""
 
-# The same for long words: in a run of overlapping pairs every second one is contracted.
+# The same for long words: in a run of overlapping pairs every second one is contracted. A query
+# ends after some rounds, and its last state starts the next one, so that states don't pile up.
 LONG_WORDS = """
-WITH RECURSIVE state(w, pos, tok, next, done) AS (
-  SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), false FROM start
+WITH RECURSIVE state(w, pos, tok, next, done, round) AS (
+  SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), false, 0 FROM start
   UNION ALL (
     WITH ranked AS (
-      SELECT s.w, s.pos, s.tok, g.merged, g.closed FROM state s LEFT JOIN merges g ON g.pair = ((s.tok::BIGINT << 32) | s.next) WHERE NOT s.done),
+      SELECT s.w, s.pos, s.tok, s.round, g.merged, g.closed
+      FROM state s LEFT JOIN merges g ON g.pair = ((s.tok::BIGINT << 32) | s.next) WHERE NOT s.done AND s.round < {rounds}),
     best AS (SELECT w, min((merged::BIGINT << 32) | pos) AS b FROM ranked WHERE merged IS NOT NULL GROUP BY w),
     marked AS (
       SELECT r.*, b IS NULL AS done, coalesce(merged = (b >> 32) AND (closed OR pos = (b & 4294967295)), false) AS hit
@@ -79,10 +86,10 @@ WITH RECURSIVE state(w, pos, tok, next, done) AS (
     runs AS (SELECT *, count(*) FILTER (NOT hit) OVER (PARTITION BY w ORDER BY pos) AS run FROM marked),
     cuts AS (SELECT *, hit AND row_number() OVER (PARTITION BY w, run, hit ORDER BY pos) % 2 = 1 AS cut FROM runs),
     made AS (
-      SELECT w, pos, CASE WHEN cut THEN merged ELSE tok END AS tok, done,
+      SELECT w, pos, CASE WHEN cut THEN merged ELSE tok END AS tok, done, round + 1 AS round,
              coalesce(lag(cut) OVER (PARTITION BY w ORDER BY pos), false) AS eaten FROM cuts)
-    SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), done FROM made WHERE NOT eaten))
-SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w"""
+    SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), done, round FROM made WHERE NOT eaten))
+SELECT w, done, list(tok ORDER BY pos) AS ids FROM state WHERE done OR round = {rounds} GROUP BY w, done ORDER BY w"""
 
 DECODE = """
 SELECT row, from_hex(string_agg(hex, '' ORDER BY pos)) AS data
@@ -101,6 +108,7 @@ class Engine:
         self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tokens_inside: ahocorasick.Automaton | None = None
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.decimal = {rank: str(rank) for rank in self.ranks.values()}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
@@ -120,28 +128,76 @@ class Engine:
         words = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         self.db.sql("CREATE TABLE vocabulary AS SELECT * FROM words")
 
-    def contracted(self, words: list[bytes], query: str) -> list[bytes]:
+    def contracted(self, words: list[bytes], query: str = SHORT_WORDS) -> list[bytes]:
         """Ids of each word, as bytes of 32-bit integers."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        w = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        tokens = [self.byte[np.frombuffer(word, np.uint8)] for word in words] if query is LONG_WORDS else None
+        if tokens is None:
+            found = self.run(query, np.array([len(w) for w in words]), self.byte[np.frombuffer(b"".join(words), np.uint8)])
+            return self.lists(found)
+        out, open_words = [b""] * len(words), list(range(len(words)))
+        while open_words:
+            found = self.run(query.format(rounds=LONG_ROUNDS), np.array([len(t) for t in tokens]), np.concatenate(tokens))
+            ids, still, tokens = self.lists(found), [], []
+            for w, done, data in zip(found.column("w").to_pylist(), found.column("done").to_pylist(), ids):
+                if done:
+                    out[open_words[w]] = data
+                else:
+                    still.append(open_words[w])
+                    tokens.append(np.frombuffer(data, "<i4"))
+            open_words = still
+        return out
+
+    def run(self, query: str, sizes: np.ndarray, tokens: np.ndarray) -> pa.Table:
+        """Result of a query over one row per token of words of the given sizes."""
+        w = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        start = pa.table({"w": w, "pos": pos, "tok": self.byte[np.frombuffer(b"".join(words), np.uint8)]})
-        self.db.register("start", start)
-        ids = self.db.sql(query).to_arrow_table().column("ids").combine_chunks()
+        self.db.register("start", pa.table({"w": w, "pos": pos, "tok": tokens}))
+        found = self.db.sql(query).to_arrow_table()
         self.db.unregister("start")
+        return found
+
+    @staticmethod
+    def lists(found: pa.Table) -> list[bytes]:
+        ids = found.column("ids").combine_chunks()
         flat, ends = ids.values.to_numpy().astype("<i4").tobytes(), (4 * ids.offsets.to_numpy()).tolist()
         return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
+    def pieces(self, word: bytes) -> list[bytes]:
+        """The word cut wherever no token of the vocabulary that it contains crosses.
+
+        Merges make vocabulary tokens only, so none crosses such a place, and the pieces'
+        ids are the word's.
+        """
+        if self.tokens_inside is None:
+            self.tokens_inside = ahocorasick.Automaton()
+            for token in self.ranks:
+                if len(token) > 1:
+                    self.tokens_inside.add_word(token.decode("latin-1"), len(token))
+            self.tokens_inside.make_automaton()
+        steps = np.zeros(len(word) + 1, np.int64)
+        for end, size in self.tokens_inside.iter(word.decode("latin-1")):
+            steps[end - size + 2] += 1
+            steps[end + 1] -= 1
+        free = np.nonzero(np.cumsum(steps)[:-1] == 0)[0].tolist()  # 0, and the places that nothing crosses
+        return [word[a:b] for a, b in zip(free, [*free[1:], len(word)])]
+
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words that are not kept yet."""
-        waiting: dict[str, list[tuple[str, bytes]]] = {SHORT_WORDS: [], LONG_WORDS: []}
+        waiting: list[tuple[str, list[bytes]]] = []
         size = 0
 
         def flush() -> None:
-            for query, group in waiting.items():
-                if group:
-                    self.kept.update(zip((w for w, _ in group), self.contracted([b for _, b in group], query)))
-                    group.clear()
+            parts = [part for _, group in waiting for part in group]
+            ids: dict[int, bytes] = {}
+            for query, wanted in ((SHORT_WORDS, False), (LONG_WORDS, True)):
+                some = [k for k, part in enumerate(parts) if (len(part) > LONG_WORD) == wanted]
+                if some:
+                    ids.update(zip(some, self.contracted([parts[k] for k in some], query)))
+            at = 0
+            for word, group in waiting:
+                self.kept[word] = b"".join(ids[k] for k in range(at, at + len(group)))
+                at += len(group)
+            waiting.clear()
 
         for word in words:
             data = word.encode("utf-8", "replace")
@@ -149,7 +205,7 @@ class Engine:
             if rank is not None:  # a word that is a token stays whole
                 self.kept[word] = rank.to_bytes(4, "little")
                 continue
-            waiting[LONG_WORDS if len(data) > LONG_WORD else SHORT_WORDS].append((word, data))
+            waiting.append((word, [data] if len(data) <= LONG_WORD else self.pieces(data)))
             size += len(data)
             if size >= WORD_BYTES:
                 flush()

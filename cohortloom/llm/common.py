@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.session import shared_folder
@@ -35,6 +35,23 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def sampled(rows: DataFrame, per_label: int) -> DataFrame:
+    """(id, label) of at most ``per_label`` ids of each label, the first by hash.
+
+    Hashes beyond twice the wanted share of a label's ids are left out and repeated ids are
+    combined before ids are ranked, so a label's ranking takes about twice ``per_label``
+    rows, however many it has. One row per label is broadcast.
+    """
+    sizes = rows.groupBy("label").agg(F.approx_count_distinct("id", 0.02).cast("double").alias("ids"))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    near = (
+        rows.join(F.broadcast(sizes), "label").withColumn("place", place)
+        .where(F.col("place") * F.col("ids") < 2.0 * per_label * (1 << 30)).select("id", "label", "place").distinct()
+    )
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("place", "id"))
+    return near.withColumn("rank", rank).where(F.col("rank") <= per_label).select("id", "label")
+
+
 def text_of(column: str = "text"):
     """The text column; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -24,10 +24,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import text_of, worker_state
+from cohortloom.llm.common import sampled, text_of, worker_state
 
 BUCKET_BITS = 14
 NGRAMS = 4
@@ -179,8 +179,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), learn.alias("learn"))
     able = named.where("learn AND label IS NOT NULL AND id IS NOT NULL")
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    chosen = able.select("id", "label").withColumn("rank", rank).where(F.col("rank") <= per_label).select("id").distinct()
+    chosen = sampled(able.select("id", "label"), per_label).select("id").distinct()
     texts = able.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("label", "text")).alias("row"))
     found = texts.select("row.label", "row.text").mapInArrow(_count, "label string, rows array<int>, counts array<long>").toArrow()
     sample = [

@@ -29,10 +29,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import settled, text_of, worker_state
+from cohortloom.llm.common import sampled, settled, text_of, worker_state
 
 #: Bound of the training sample: rows per class.
 ROWS_PER_CLASS = 3000
@@ -273,8 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     label = named.groupBy("id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     present = label.join(texts.select("id").where("id IS NOT NULL"), "id", "left_semi")
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    chosen = settled(present.withColumn("rank", rank).where(F.col("rank") <= per_class).select("id", "toxic"))
+    chosen = settled(sampled(present.withColumnRenamed("toxic", "label"), per_class).withColumnRenamed("label", "toxic"))
     sizes = {r["toxic"]: r["count"] for r in present.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
