@@ -21,6 +21,15 @@ def first_per_key(
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def distinct_by(df: DataFrame, key: str) -> DataFrame:
+    """Distinct rows, left partitioned by ``key`` for a join or window that follows.
+
+    For rows of which a key has few distinct ones: they meet in one set.
+    """
+    others = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.collect_set(F.struct(*others)).alias("_rows")).selectExpr(key, "inline(_rows)")
+
+
 def number_equal_rows(df: DataFrame, name: str = "occurrence") -> DataFrame:
     """Number rows that are equal in every column from 1, so that each has a key of its own.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import codes, scalars
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions.codes import text
+from cohortloom.operators.dedup import distinct_by
 
 SUBJECT = "subject.reference_id_aa AS subject_id"
 ENCOUNTER = "encounter.reference_id_aa AS encounter_id"
@@ -100,7 +101,7 @@ def patient_profiles(patients: DataFrame, as_of, collapse_race: bool = False) ->
         "birthDate IS NOT NULL AND gender IS NOT NULL AND size(address.postalCode) > 0"
     )
     columns = ["id AS subject_id", "gender", f"{_age(as_of)} AS age"]
-    return spread(usable, columns, races, "race").distinct()
+    return distinct_by(spread(usable, columns, races, "race"), "subject_id")
 
 
 def with_code(conditions: DataFrame, code: str = fv.COVID_DIAGNOSIS) -> DataFrame:

@@ -20,6 +20,7 @@ from cohortloom.functions import codes, scalars
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions.codes import text
 from cohortloom.operators.cube import distinct_cube
+from cohortloom.operators.dedup import distinct_by
 from cohortloom.plans import facts
 
 Tables = Mapping[str, DataFrame]
@@ -168,7 +169,9 @@ def symptom_rows(
             _expand("classifiers", "No classifier", "covid_classifier"),
         )
     )
-    return rows.distinct().join(profiles, "subject_id", "left").selectExpr(
+    # A patient's rows are bounded by months and vocabularies, those of its encounters are not.
+    once = distinct_by(rows, "subject_id") if entity == "subject_id" else rows.distinct()
+    return once.join(profiles, "subject_id", "left").selectExpr(
         *keys, "enct_date", "symptoms",
         f"{codes.known_gender('gender')} AS gender",
         f"{codes.age_band('age')} AS age_group",
