@@ -40,7 +40,7 @@ from cohortloom.llm.common import text_of, worker_state
 MAGIC = b"TIDS1"
 BLOCK_IDS = 2048
 #: Ids after which a segment ends with its document.
-SEGMENT_IDS = 3_000_000
+SEGMENT_IDS = 2_000_000
 #: Slots of a block's order-2 table.
 PAIRS = 2048
 #: What one occurrence adds to a frequency or outcome, the bound at which outcomes are halved,
@@ -286,14 +286,14 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 # --- tokenizer ---------------------------------------------------------------------------
 
 #: Encoded stretches that a worker keeps, in two generations as in the byte-level encoder.
-KEPT_CHUNKS = 800_000
+KEPT_CHUNKS = 500_000
 #: White space to str.split, but not to the tokenizer, which drops white space between words.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 GAPS = re.compile(r"[ \t\n\r]+")
 #: Letters alone, before punctuation that starts a word of its own.
 TAIL = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 #: Words that are joined for one call.
-JOINED = 4000
+JOINED = 2000
 
 
 class Words:
@@ -341,8 +341,7 @@ class Words:
             (plain if single else others).append(chunk)
         for at in range(0, len(plain), JOINED):
             some = plain[at:at + JOINED]
-            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
             ends = np.nonzero(self.ends[ids])[0] + 1
             if len(ends) != len(some) or ends[-1] != len(ids):
                 others += some
@@ -351,7 +350,7 @@ class Words:
             self.kept.update((word, raw[a:b]) for word, a, b in zip(some, [0, *ends], ends))
         for at in range(0, len(others), JOINED):
             some = others[at:at + JOINED]
-            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
                 self.kept[chunk] = np.array(found.ids, "<u4").tobytes()
 
 
