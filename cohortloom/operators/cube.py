@@ -22,16 +22,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-def subsets(bits: str, n: int) -> str:
-    """Array of the bit sets inside the bit set ``bits`` over n bits.
+def with_subsets(df: DataFrame, bits: str, n: int, name: str) -> DataFrame:
+    """A row for every bit set inside the bit set ``bits`` over n bits, as column ``name``.
 
     The k-th one takes the binary digits of k as its answers, one for each bit of ``bits``.
     """
-    rank = lambda i: f"bit_count({bits} & {(1 << i) - 1}L)"
+    rank = lambda i: f"bit_count(_bits & {(1 << i) - 1}L)"
     chosen = " | ".join(
-        f"IF({bits} & {1 << i}L <> 0 AND shiftright(k, {rank(i)}) & 1 = 1, {1 << i}L, 0L)" for i in range(n)
+        f"IF(_bits & {1 << i}L <> 0 AND shiftright(_k, {rank(i)}) & 1 = 1, {1 << i}L, 0L)" for i in range(n)
     )
-    return f"transform(sequence(0L, shiftleft(1L, bit_count({bits})) - 1), k -> {chosen})"
+    numbered = df.selectExpr("*", f"{bits} AS _bits").selectExpr(
+        "*", "explode(sequence(0L, shiftleft(1L, bit_count(_bits)) - 1)) AS _k")
+    return numbered.withColumn(name, F.expr(chosen)).drop("_bits", "_k")
 
 
 def _masked(dims: Sequence[str], dropped: str) -> list[str]:
@@ -68,7 +70,7 @@ def distinct_cube(
     rows = (rows.distinct() if compact else rows).selectExpr(
         "*", f"{_varying(dims, entity)} AS _varying"
     )
-    expanded = rows.selectExpr("*", f"explode({subsets('_varying', len(dims))}) AS _dropped").selectExpr(
+    expanded = with_subsets(rows, "_varying", len(dims), "_dropped").selectExpr(
         *_masked(dims, "_dropped"), entity, "_varying", "_dropped"
     )
     # One row per entity and cell; the hash partitioning by entity still holds.
@@ -76,8 +78,7 @@ def distinct_cube(
         F.expr(f"max(IF(`{entity}` IS NULL, 0, 1)) AS _one")
     )
     cells = once.groupBy(*dims, "_varying", "_dropped").agg(F.sum("_one").alias("_n"))
-    constant = subsets(f"({everything}L ^ _varying)", len(dims))
-    rolled = cells.selectExpr("*", f"explode({constant}) AS _rolled").selectExpr(
+    rolled = with_subsets(cells, f"{everything}L ^ _varying", len(dims), "_rolled").selectExpr(
         *_masked(dims, "_rolled"), "_dropped | _rolled AS grouping_id", "_n"
     )
     totals = rolled.groupBy(*dims, "grouping_id").agg(F.sum("_n").alias(count))

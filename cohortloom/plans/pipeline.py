@@ -141,10 +141,10 @@ def build_store(
     notes = extracts["note_cohort"]
     own = assign_ids(notes, folder, salt)
     patients, encounters = load_ids(notes.sparkSession, folder)
-    usable, uncoded = mentions.usable_mentions(mentions.explode_mentions(annotated, types, order["annotated"]))
+    # Exploded once, for the mapped tables and the rejects.
+    usable, uncoded = mentions.usable_mentions(settled(mentions.explode_mentions(annotated, types, order["annotated"])))
     kinds = [kind for kind in mentions.KINDS if kind in types.values()]
     first = mentions.first_mentions(usable, order["annotated"])
-    first = settled(first) if len(kinds) > 1 else first
     found = {kind: mentions.map_mentions(first, kind, salt) for kind in kinds}
     mapped = {
         "Patient": [resources.map_patient(extracts["patient_dimension"], patients)],
