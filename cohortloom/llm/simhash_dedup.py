@@ -296,12 +296,16 @@ def hex_print(column: str = "print"):
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
                          block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row of ``docs`` per component, with its columns: the smallest id, null ids last.
+    """One row of ``docs`` per component, with its columns: the smallest id, null ids last."""
+    return keep_first(docs, _with_roots(docs, radius, id_col, text_col, block_rows), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` per root in ``rows`` (id, digest, root).
 
     Id and digest name the row that stays; rows that repeat both are alike, and just these
     pass through an aggregation of whole rows.
     """
-    rows = _with_roots(docs, radius, id_col, text_col, block_rows)
     alike = rows.groupBy("root", "id", "digest").agg(F.count("*").alias("rows"))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest", "rows")
     keepers = settled(alike.groupBy("root").agg(F.min(first).alias("k")).select(
