@@ -3,10 +3,15 @@
 The page links of each host give weighted host edges. Trust is a personalised PageRank from
 hosts with allowed pages along the edges; distrust is one from hosts with blocked pages
 against them, since a host is answerable for what it links to. Seeds weigh as much as the
-share of a host's pages that rules decide. A host whose distrust exceeds its trust by the
-threshold is blocked.
+share of a host's pages that rules decide.
 
-Everything runs on DataFrame functions. Per round only three numbers reach the driver.
+Rank is mass that all linking hosts share, so it isn't compared with the threshold itself. A
+host's blame is the larger of its own share of blocked less allowed pages and the damped mean
+blame of the hosts that its links lead to, times distrust / (trust + distrust); neither falls
+with the number of hosts or of links to a target. A host whose blame reaches the threshold is
+blocked.
+
+Everything runs on DataFrame functions. Per round only a few numbers reach the driver.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule and is
 allowed; hosts without links and rules have neither trust nor distrust and are allowed; links
@@ -28,7 +33,9 @@ DAMPING = 0.85
 ROUNDS = 30
 #: Rounds end once the ranks move by less than this in sum.
 TOLERANCE = 1e-6
-#: Distrust less trust at which a host is blocked; 1 is a host whose every page is blocked.
+#: Blame moves by less than this per host in the last round.
+BLAME_TOLERANCE = 1e-3
+#: Blame at which a host is blocked; 1 is a host whose every page is blocked.
 THRESHOLD = 0.5
 #: Absolute and protocol-relative link targets.
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -128,6 +135,25 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     return ranks.select("kind", "host", "rank")
 
 
+def blames(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """(host, blame) from (host, own, ratio): own, or the damped mean blame of link targets times ratio."""
+    out = edges.groupBy("src").agg(F.sum("links").alias("all"))
+    shares = settled(
+        edges.join(out, "src").join(hosts.select(F.col("host").alias("src"), "ratio").where("ratio > 0"), "src")
+        .select("src", "dst", (F.lit(damping) * F.col("ratio") * F.col("links") / F.col("all")).alias("share")))
+    now = hosts.select("host", "own", F.col("own").alias("blame"))
+    for _ in range(rounds):
+        passed = (
+            shares.join(now.where("blame > 0").select(F.col("host").alias("dst"), "blame"), "dst")
+            .groupBy(F.col("src").alias("host")).agg(F.sum(F.col("share") * F.col("blame")).alias("got"))
+        )
+        now = settled(now.join(passed, "host", "left").select(
+            "host", "own", F.col("blame").alias("old"), F.greatest("own", F.coalesce("got", F.lit(0.0))).alias("blame")))
+        if (now.agg(F.max(F.abs(F.col("blame") - F.col("old")))).first()[0] or 0.0) < BLAME_TOLERANCE:
+            break
+    return now.select("host", "blame")
+
+
 def judge_urls(
     pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD, id_col: str = "page_id",
     url_col: str = "url", html_col: str = "html",
@@ -145,10 +171,16 @@ def judge_urls(
         .where("seed > 0"))
     edges = settled(host_edges(ruled.select("host", "html")))
     ranks = propagate(seeds, edges)
-    scores = ranks.groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"))
-    by_graph = F.when(F.col("distrust") - F.col("trust") >= threshold, "block").otherwise("allow")
+    of_kind = lambda kind, c: F.sum(F.when(F.col("kind") == kind, F.col(c)).otherwise(0.0))
+    both = ranks.join(seeds, ["kind", "host"], "left").withColumn("seed", F.coalesce("seed", F.lit(0.0)))
+    both = both.withColumn("least", F.greatest("rank", "seed"))  # a host's own pages count in full, whatever links to it
+    known = settled(both.groupBy("host").agg(
+        of_kind("trust", "rank").alias("trust"), of_kind("distrust", "rank").alias("distrust"),
+        of_kind("trust", "least").alias("t"), of_kind("distrust", "least").alias("d"),
+        F.greatest(of_kind("distrust", "seed") - of_kind("trust", "seed"), F.lit(0.0)).alias("own")))
+    ratio = F.when(F.col("d") > 0, F.col("d") / (F.col("t") + F.col("d"))).otherwise(0.0)
+    scores = known.select("host", "trust", "distrust").join(blames(known.select("host", "own", ratio.alias("ratio")), edges), "host")
+    by_graph = F.when(F.col("blame") >= threshold, "block").otherwise("allow")
     return (
         slim.join(scores, "host", "left").fillna(0.0, ["trust", "distrust"])
         .select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_graph).alias("verdict"), "trust", "distrust")

@@ -72,3 +72,20 @@ def test_empty_and_repeated(spark):
     pages = spark.createDataFrame([(1, "http://a.org/fr/", None)] * 3, SCHEMA)
     assert u.judge_urls(pages, u.RULES).count() == 3
     assert u.judge_urls(pages, []).where("rule IS NULL AND verdict = 'allow'").count() == 3
+
+
+@pytest.mark.parametrize("farms", [1, 2, 10])
+def test_farms_are_blocked_at_the_production_threshold(spark, farms):
+    rules = [u.Rule("bad.com", "/", "block"), u.Rule("good.com", "/", "allow")]
+    rows = [(1, "http://bad.com/", None), (2, "http://good.com/", link("fine.com"))]
+    rows += [(10 + k, f"http://farm{k}.com/", link("bad.com")) for k in range(farms)]
+    rows += [(50, "http://fine.com/", link("bad.com", *[f"other{k}.com" for k in range(9)])),
+             (51, "http://blog.com/", link("bad.com", *[f"other{k}.com" for k in range(9)])), (52, "http://reader.com/", link("blog.com"))]
+    got = {k: r["verdict"] for k, r in judged(spark, rows, rules).items()}
+    assert got == {1: "block", 2: "allow", 50: "allow", 51: "allow", 52: "allow"} | {10 + k: "block" for k in range(farms)}
+
+
+def test_a_link_does_not_whitewash_its_target(spark):
+    rules = [u.Rule("bad.com", "/x", "block")]
+    rows = [(k, f"http://bad.com/x{k}", None) for k in range(9)] + [(9, "http://bad.com/open", None), (10, "http://farm.com/", link("bad.com"))]
+    assert {r["verdict"] for r in judged(spark, rows, rules).values()} == {"block"}
