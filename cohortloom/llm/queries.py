@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, token_files, toxicity, url_filter
+from cohortloom.llm import (
+    byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, token_counts, token_files, toxicity, url_filter,
+)
 from cohortloom.llm.common import documents
 from cohortloom.session import shared_folder
 
@@ -84,6 +86,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECES))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module's queries
 
@@ -101,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_token_counts": op13_token_counts,
     "pipeline": pipeline,
 }
 
