@@ -30,9 +30,20 @@ def worker_state(key: object, make: Callable[[], object]):
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
+    return settled_at(df)[0]
+
+
+def settled_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` settled, and the folder that holds it."""
     folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a settled table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sampled(rows: DataFrame, per_label: int) -> DataFrame:

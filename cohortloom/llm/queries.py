@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm import (
-    byte_bpe, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup, token_counts, token_files, toxicity, url_filter,
+    byte_bpe, centroid_clustering, code_compression, decontaminate, exact_dedup, html_text, language_id, sharding, simhash_dedup,
+    token_counts, token_files, toxicity, url_filter,
 )
 from cohortloom.llm.common import documents
 from cohortloom.session import shared_folder
@@ -86,6 +87,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, places = centroid_clustering.cluster(documents(spark, sf_dir, "embeddings"))
+    return centroid_clustering.with_inertia(found, places).withColumnRenamed("id", "vec_id")
+
+
+def op12_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = code_compression.compress(documents(spark, sf_dir, "embeddings"))
+    return code_compression.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(code_compression.codebook_digest(books)).alias("codebooks_sha256"))
+
+
 PIECES = "piece_bpe_32k.model"
 
 
@@ -110,11 +122,75 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_code_compression": op12_code_compression,
     "op13_token_counts": op13_token_counts,
     "pipeline": pipeline,
 }
 
+# Integer vectors, one row per component, and floor(s / n) of integers.
+_WHOLE = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_FLOOR = "(s - ((s % n) + n) % n) // n"
+
+
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    """Plain k-means of the same contract: all distances in every round."""
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_WHOLE}),
+points AS MATERIALIZED (SELECT vec_id, generate_subscripts(v, 1) AS p, unnest(v) AS x FROM kept),
+first_rows AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM kept QUALIFY c < {k}),
+c0 AS MATERIALIZED (SELECT c, generate_subscripts(v, 1) AS p, unnest(v) AS x FROM first_rows)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, min({{'d': d, 'c': c}}) AS m
+  FROM (SELECT vec_id, c, sum((a.x - b.x) * (a.x - b.x))::BIGINT AS d FROM points a JOIN c{i} b USING (p) GROUP BY vec_id, c)
+  GROUP BY vec_id)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c, p, coalesce({_FLOOR}, x) AS x FROM c{i} LEFT JOIN (
+    SELECT m.c AS c, p, sum(x)::BIGINT AS s, count(*) AS n FROM points JOIN a{i} USING (vec_id) GROUP BY m.c, p) USING (c, p))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, m.c::INT AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia,
+       (sum(m.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS centroid_sha256 FROM c{rounds} GROUP BY c) z ON z.c = m.c"""
+
+
+def _compression_sql(entries: int = 16, rounds: int = 6) -> str:
+    """Plain product quantisation of the same contract: all entries for every part."""
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_WHOLE}),
+flat AS (SELECT vec_id, generate_subscripts(v, 1) - 1 AS k, unnest(v) AS x FROM kept),
+points AS MATERIALIZED (SELECT vec_id, k // 8 AS part, k % 8 AS p, x FROM flat),
+first_rows AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {entries}),
+c0 AS MATERIALIZED (SELECT part, e, p, x FROM points JOIN first_rows USING (vec_id))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, part, min({{'d': d, 'e': e}}) AS m
+  FROM (SELECT vec_id, part, e, sum((a.x - b.x) * (a.x - b.x))::BIGINT AS d
+        FROM points a JOIN c{i} b USING (part, p) GROUP BY vec_id, part, e)
+  GROUP BY vec_id, part)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT part, e, p, coalesce({_FLOOR}, x) AS x FROM c{i} LEFT JOIN (
+    SELECT part, m.e AS e, p, sum(x)::BIGINT AS s, count(*) AS n
+    FROM points JOIN a{i} USING (vec_id, part) GROUP BY part, m.e, p) USING (part, e, p))""")
+    return ",".join(steps) + f""",
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, e, p)) FROM c{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
 SQL: dict[str, str] = {
+    "op11_centroid_clustering": _clustering_sql(),
+    "op12_code_compression": _compression_sql(),
     "op10_exact_dedup": r"""
 WITH normal AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
