@@ -10,23 +10,8 @@ from pyspark.sql import types as T
 
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions.codes import one_of
-
-POSITION = ["src_file", "src_block", "src_row"]
-
-
-def with_position(df: DataFrame) -> DataFrame:
-    """Add the place of each row in its source: file, split offset, row within the split.
-
-    Ordering by these three columns is the order of the rows in the files. Splits are
-    read independently, so a large file still spreads over many tasks.
-    """
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
-    )
-
+from cohortloom.sources.positions import POSITION, with_position
+from cohortloom.sources.records import gather, with_starts
 
 def read_extract(
     spark: SparkSession,
@@ -44,22 +29,17 @@ def read_extract(
     and beside others: files are grouped by header, each group is read with its own, and a
     header without a wanted column is an error rather than a silent shift. Finding the
     headers is one pass over the lines; ``uniform=True`` leaves it out for files known to
-    share a header. Quoted line breaks are honoured, which makes a file one task, so large
-    extracts with note texts should come as many files; pass ``splittable=True`` for extracts
-    known to have none, and large files are read in splits.
+    share a header.
+
+    Quoted line breaks are honoured and large files are read in splits all the same, by one
+    more pass over the lines and one exchange of them (``quoted_records``). Pass
+    ``splittable=True`` for extracts known to have no quoted line breaks: neither is needed.
     """
     paths = [path] if isinstance(path, str) else list(path)
     groups = [paths] if uniform else files_by_header(spark, paths)
     out = None
     for files in groups:
-        raw = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("enforceSchema", False)
-            .option("multiLine", not splittable)
-            .option("escape", '"')
-            .csv(files)
-        )
+        raw = _plain_rows(spark, files) if splittable else _quoted_rows(spark, files)
         missing = [c for c in columns if c not in raw.columns]
         if missing:
             raise ValueError(f"extract has no column {missing}; found {raw.columns}")
@@ -67,11 +47,52 @@ def read_extract(
             f"IF({one_of(f'`{c}`', na_tokens)}, NULL, `{c}`) AS `{c}`" if na_tokens else f"`{c}`"
             for c in columns
         ]
-        rows = with_position(raw).selectExpr(*cleaned, *POSITION) if position else raw.selectExpr(*cleaned)
+        rows = raw.selectExpr(*cleaned, *(POSITION if position else []))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def _plain_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """Rows of files whose every line is a record."""
+    return with_position(spark.read.options(header=True, inferSchema=False, enforceSchema=False, escape='"').csv(files))
+
+
+def _quoted_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """Rows of files that share a header and may hold quoted line breaks."""
+    names = spark.read.options(header=True, inferSchema=False, escape='"').csv(files).columns
+    fields = ", ".join(f"c{k} string" for k in range(max(1, len(names))))
+    rows = quoted_records(spark, files).where("NOT is_header").withColumn("row", F.from_csv("value", fields, {"escape": '"'}))
+    return rows.select(*[F.col(f"row.c{k}").alias(name) for k, name in enumerate(names)], *POSITION)
+
+
+# A line's pieces between quotes, each but the last with the quote after it. Inside a text a quote
+# closes it (1 to 0). After that, or at the start of a line that begins outside, another quote at
+# once opens a text again, as does one behind a comma; any other quote is an ordinary character.
+_QUOTED = (
+    "aggregate(slice(split(value, '\"'), 1, size(split(value, '\"')) - 1), {start},"
+    " (s, p) -> CASE WHEN s = 1 THEN 0 WHEN (s = 0 AND p = '') OR endswith(p, ',') THEN 1 ELSE 2 END, s -> s = 1)"
+)
+
+
+def _ends_inside(start: int) -> str:
+    return f"IF(contains(value, '\"'), {_QUOTED.format(start=start)}, {'TRUE' if start else 'FALSE'})"
+
+
+def quoted_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(value, position, is_header) of the records of CSV files whose quoted texts hold line breaks.
+
+    Files are read in splits: whether a line break ends a record follows from the quotes before
+    it, which are composed over the lines of a split and over the splits of a file. Blank records
+    are left out, as is the carriage return of a line feed that ends a record; line breaks inside
+    a text are kept as they are.
+    """
+    lines = with_position(spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path)))
+    records = gather(with_starts(lines, _ends_inside(0), _ends_inside(1)), "\n")
+    return records.selectExpr(
+        r"IF(endswith(value, '\r'), left(value, length(value) - 1), value) AS value", *POSITION,
+        "src_block = 0 AND number = 1 AS is_header").where("value <> ''")
+
+
 def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(path, header) of each file: its first line."""
     lines = with_position(spark.read.text(list(paths)))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.functions import scalars
+from cohortloom.sources.positions import POSITION, with_position
 from cohortloom.sources.publish import first_published, publish
+from cohortloom.sources.records import gather, with_starts
 
 SCHEMA = "source_id string, uuid string"
 
@@ -50,22 +52,26 @@ def load_id_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(f"{path.rstrip('/')}/{name}")
 
 
-# A quoted key and a quoted value between the commas of an object, or the end of an empty one.
-_ENTRY = r'^\\s*\\{?\\s*"([^"]*)"\\s*:\\s*"([^"]*)"\\s*\\}?\\s*$'
+# Whether a piece has an odd number of quotes that no backslash precedes.
+_ODD_QUOTES = r"(length(regexp_replace(value, '(?s)\\\\.|[^\"\\\\]+', '')) % 2 = 1)"
 
 
 def import_json_id_map(spark: SparkSession, path: str) -> DataFrame:
-    """One-off import of a map kept as a single JSON object of plain keys and ids.
+    """One-off import of a map kept as one JSON object of keys and ids, or as a folder of them.
 
-    The object is read in splits at its commas, so it may be of any size. A piece that is
-    not one entry, such as a key with a comma or an escape, is an error.
+    The object is read in splits at its commas, so it may be of any size, and keys may hold
+    commas, quotes and escapes: a comma inside a string is told by the quotes before it, which are
+    composed over the pieces of a split and over the splits of a file. Of a repeated key the last
+    id stays, as in any JSON reader. A piece that is not one entry is an error.
     """
-    pieces = spark.read.option("lineSep", ",").text(path).where(r"value NOT RLIKE '^[{}\\s]*$'")
-    return pieces.selectExpr(
-        f"IF(value RLIKE '{_ENTRY}', value, raise_error(concat('not an entry: ', value))) AS value"
-    ).selectExpr(
-        f"regexp_extract(value, '{_ENTRY}', 1) AS source_id", f"regexp_extract(value, '{_ENTRY}', 2) AS uuid"
-    )
+    pieces = with_position(spark.read.option("lineSep", ",").text(path))
+    entries = gather(with_starts(pieces, _ODD_QUOTES, f"NOT {_ODD_QUOTES}"), ",").withColumn(
+        "value", F.expr(r"regexp_replace(value, '^\\s*\\{|\\}\\s*$', '')")).where(r"value NOT RLIKE '^\\s*$'")
+    parsed = entries.withColumn("entry", F.from_json(F.concat(F.lit("{"), "value", F.lit("}")), "map<string, string>"))
+    known = parsed.withColumn("entry", F.expr(
+        "IF(coalesce(cardinality(entry) = 1, FALSE), entry, raise_error(concat('not an entry: ', value)))"))
+    rows = known.selectExpr(*POSITION, "map_keys(entry)[0] AS source_id", "map_values(entry)[0] AS uuid")
+    return rows.groupBy("source_id").agg(F.max_by("uuid", F.struct(*POSITION)).alias("uuid"))
 
 
 def attach(df: DataFrame, id_map: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions import scalars
-from cohortloom.sources.extracts import POSITION, with_position
+from cohortloom.sources.positions import POSITION, with_position
 
 NDJSON, DATED_TEXT, UNRECOGNISED = "ndjson", "dated_text", "unrecognised"
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions import scalars
 from cohortloom.functions.codes import text
-from cohortloom.sources.extracts import POSITION
 from cohortloom.sources.ndjson import DATED_TEXT, read_lines
+from cohortloom.sources.positions import POSITION
+from cohortloom.sources.records import gather
 
 
 def read_note_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -31,43 +32,20 @@ def segment_notes(lines: DataFrame) -> DataFrame:
     undated marker for text before the first one) and ``text`` (a line feed before every
     line). Notes of at most one character are dropped.
 
-    The running note number is a two-level prefix sum: date lines are counted per split,
-    the counts are accumulated per file (one row per split), and only the rest is counted
-    within the split. No task ever orders more than one split, however large the file.
+    Notes are put together in two levels, within a split and then over neighbouring splits, so no
+    task orders more than one split and no group holds more lines than a split has, however long
+    a file or a note is.
     """
-    marked = lines.selectExpr(
-        "patient_uuid", *POSITION, r"regexp_replace(line, '[\\s\\p{Z}]+$', '') AS line"
-    ).withColumn("is_header", F.expr(f"CAST(line RLIKE {text(fv.NOTE_HEADER)} AS INT)"))
-    split_key = ["src_file", "src_block"]
-    before_split = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        marked.groupBy(*split_key)
-        .agg(F.sum("is_header").alias("headers"))
-        .select(*split_key, F.coalesce(F.sum("headers").over(before_split), F.lit(0)).alias("offset"))
-    )
-    in_split = Window.partitionBy(*split_key).orderBy("src_row")
-    numbered = marked.withColumn("local", F.sum("is_header").over(in_split)).join(
-        offsets, split_key
-    )
-    notes = (
-        numbered.withColumn("note", F.expr("offset + local"))
-        .groupBy("src_file", "note")
-        .agg(
-            F.max("patient_uuid").alias("patient_uuid"),
-            F.expr("max(IF(is_header = 1, line, NULL)) AS header"),
-            F.expr(
-                "sort_array(collect_list(IF(is_header = 0, struct(src_block, src_row, line), NULL)))"
-                " AS body"
-            ),
-        )
-    )
+    pieces = lines.selectExpr(
+        "patient_uuid", *POSITION, r"regexp_replace(line, '[\\s\\p{Z}]+$', '') AS value"
+    ).withColumn("starts", F.expr(f"value RLIKE {text(fv.NOTE_HEADER)}"))
+    notes = gather(pieces, "\n", ["patient_uuid"]).selectExpr(
+        "patient_uuid", r"IF(number > 0, substring_index(value, '\n', 1), NULL) AS header", "value")
     return notes.selectExpr(
         "patient_uuid",
         "CAST(NULL AS STRING) AS encounter",
         f"coalesce(header, '{fv.UNDATED_NOTE}') AS note_date",
-        r"array_join(transform(body, b -> concat('\n', b.line)), '') AS text",
+        r"IF(header IS NULL, concat('\n', value), substring(value, length(header) + 1)) AS text",
     ).where("length(text) > 1")
 
 

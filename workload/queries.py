@@ -470,14 +470,17 @@ def csv_mixed_headers(w: Warehouse) -> DataFrame:
         w.spark, [f"{root}/a", f"{root}/b"], ["ENCOUNTER_NUM", "PATIENT_NUM", "TVAL_CHAR"], splittable=True)
 
 
-@register(q.query(f"SELECT PATIENT_NUM AS source_id, {q.patient()} AS uuid FROM cohort_p"))
+@register(q.query(
+    f"SELECT PATIENT_NUM AS source_id, {q.patient()} AS uuid FROM cohort_p"
+    f" UNION ALL SELECT PATIENT_NUM || ', \"ward\" ' || chr(92) || ' 1' || chr(10), {q.patient()} FROM cohort_p"
+))
 def id_map_json_import(w: Warehouse) -> DataFrame:
-    """The patient map written as one JSON object and imported in splits."""
+    """The patient map, also under keys with commas, quotes and escapes, as JSON in many files, imported in splits."""
     folder = shared_folder(w.spark)
-    first, last = w.patients.agg(F.min("source_id"), F.max("source_id")).first()
-    entry = F.format_string('%s"%s": "%s"%s', F.when(F.col("source_id") == first, "{").otherwise(""), "source_id", "uuid",
-                            F.when(F.col("source_id") == last, "}").otherwise(""))
-    w.patients.sort("source_id").select(entry.alias("value")).coalesce(1).write.option("lineSep", ",").text(folder)
+    odd = F.concat("source_id", F.lit(', "ward" \\ 1\n'))
+    keys = w.patients.unionByName(w.patients.select(odd.alias("source_id"), "uuid"))
+    entry = F.to_json(F.create_map("source_id", "uuid"))
+    keys.repartitionByRange("source_id").select(F.regexp_replace(entry, r"^\{|\}$", "").alias("value")).write.option("lineSep", ",").text(folder)
     return idmaps.import_json_id_map(w.spark, folder)
 
 
