@@ -2,7 +2,8 @@
 
 Each mapper is one projection after the cohort joins. ``patients`` and ``encounters`` are
 id maps (source_id, uuid). ``row_key`` names the columns that identify a source row; ids
-derive from it, so a rerun yields the same ids.
+derive from it, so a rerun yields the same ids. ``limit`` keeps a mapper's first outputs in
+the order of the source files; its rows then carry their position (``positions.POSITION``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from cohortloom.functions import codes, scalars
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions import nested as n
 from cohortloom.functions.codes import text
-from cohortloom.operators.dedup import first_per_key, number_equal_rows
+from cohortloom.operators.dedup import cap_in_source_order, first_per_key, number_equal_rows
 from cohortloom.sources.idmaps import attach
 
 PATIENT, ENCOUNTER = "PATIENT_NUM", "ENCOUNTER_NUM"
@@ -41,7 +42,7 @@ def _profile(url: str) -> str:
 
 
 def map_patient(
-    df: DataFrame, patients: DataFrame, identifier_system: str = "hospital patient number"
+    df: DataFrame, patients: DataFrame, identifier_system: str = "hospital patient number", limit: int = 0
 ) -> DataFrame:
     race = n.inner_extension("ombCategory", valueCoding=n.coding(
         text(fv.OMB_RACE_SYSTEM), codes.race_code("RACE_CD"), "RACE_CD"
@@ -50,7 +51,7 @@ def map_patient(
     address = {"postalCode": "ZIP_CD", "country": "'US'"}
     if "STATE_CD" in df.columns:
         address["state"] = "STATE_CD"
-    return n.as_resource(attach(df, patients, PATIENT, "patient_uuid"), "Patient", {
+    return n.as_resource(cap_in_source_order(attach(df, patients, PATIENT, "patient_uuid"), limit), "Patient", {
         "id": "patient_uuid",
         "meta": _profile(fv.PATIENT_PROFILE),
         "extension": n.array(n.extension(fv.RACE_EXTENSION, race)),
@@ -67,12 +68,13 @@ def map_condition(
     encounters: DataFrame,
     salt: str,
     order: Sequence[str] = ("START_DATE",),
+    limit: int = 0,
 ) -> DataFrame:
     """One Condition per encounter and concept: the first cohort row in ``order``."""
     rows = first_per_key(
         with_ids(df, patients, encounters), [ENCOUNTER, "CONCEPT_CD"], [*order, PATIENT]
     )
-    return n.as_resource(rows, "Condition", {
+    return n.as_resource(cap_in_source_order(rows, limit), "Condition", {
         "id": scalars.pseudonym("Condition", scalars.row_key([ENCOUNTER, "CONCEPT_CD"]), salt),
         "meta": _profile(fv.CONDITION_PROFILE),
         "clinicalStatus": n.concept(n.fixed_coding(fv.CONDITION_CLINICAL, "active")),
@@ -96,17 +98,22 @@ def map_lab_observation(
     salt: str,
     row_key: Sequence[str] | None = None,
     case_sensitive: bool = False,
+    limit: int = 0,
 ) -> DataFrame:
     """Observations of the listed lab codes. ``modifierExtension`` stays NULL.
 
     Without a ``row_key``, such as the source position, a row is known by its values and
-    by its number among rows of the same values.
+    by its number among rows of the same values; such rows have no position, so a ``limit``
+    needs a key.
     """
     listed = df.where(codes.one_of("CONCEPT_CD", fv.LAB_TO_LOINC))
     if row_key is None:
+        if limit:
+            raise ValueError("a limit needs a row key")
         listed = number_equal_rows(listed.select(*LAB_VALUES))
         row_key = [*LAB_VALUES, "occurrence"]
-    return n.as_resource(with_ids(listed, patients, encounters), "Observation", {
+    rows = cap_in_source_order(with_ids(listed, patients, encounters), limit)
+    return n.as_resource(rows, "Observation", {
         "id": scalars.pseudonym("Observation", scalars.row_key(row_key), salt),
         "status": "'final'",
         "category": n.array(n.concept(

@@ -88,3 +88,30 @@ def test_cube_with_a_hot_entity(spark):
     assert ours.where("a IS NOT NULL AND b IS NULL AND c IS NULL").count() == exact
     top = ours.where("a IS NULL AND b IS NULL AND c IS NULL").first()["cnt"]
     assert top == df.select("k").distinct().count()
+
+
+def test_cap_in_source_order(spark, tmp_path):
+    from cohortloom.operators.dedup import cap_in_source_order
+    from cohortloom.sources.positions import with_position
+
+    for name, rows in (("a", range(0, 700)), ("b", range(700, 720)), ("c", range(720, 2000))):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{k}\n" for k in rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        lines = with_position(spark.read.text(str(tmp_path))).where("CAST(value AS INT) % 3 = 0").repartition(5, "value")
+        assert lines.select("src_file", "src_block").distinct().count() > 10
+        for limit in (1, 100, 234, 235, 600, 5000):
+            got = cap_in_source_order(lines, limit).collect()
+            assert sorted(int(r["value"]) for r in got) == list(range(0, 2000, 3))[:limit]
+        assert cap_in_source_order(lines, 0) is lines
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_equal_rows_are_numbered_in_bounded_steps(spark, monkeypatch):
+    from cohortloom.operators import dedup
+
+    monkeypatch.setattr(dedup, "NUMBERED", 7)
+    rows = spark.range(100).selectExpr("IF(id < 60, 'hot', concat('k', id % 20)) AS k")
+    got = sorted((r["k"], r["occurrence"]) for r in dedup.number_equal_rows(rows).collect())
+    assert got == sorted([("hot", n) for n in range(1, 61)] + [(f"k{k}", n) for k in range(20) for n in (1, 2)])

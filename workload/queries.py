@@ -18,6 +18,7 @@ from cohortloom.plans import facts, reports
 from cohortloom.plans.pipeline import TABLES, read_rejects, read_tables
 from cohortloom.session import shared_folder
 from cohortloom.sources import extracts, idmaps, ndjson, notes, snapshots
+from cohortloom.sources.named_files import write_named
 from cohortloom.streaming.arrivals import cube_schema, load_arriving_cubes, read_loaded_cubes
 from workload import sql as q
 from workload.shapes import AS_OF, SALT, Warehouse
@@ -389,6 +390,7 @@ def input_routing(w: Warehouse) -> DataFrame:
 
 @register(
     "SELECT 'ndjson' AS kind, count(*) AS lines FROM conversations"
+    " UNION ALL SELECT 'dated_text', count(*) FILTER (WHERE turn % 2 = 1) FROM conversations"
     " UNION ALL SELECT 'unrecognised', count(*) + count(*) FILTER (WHERE turn % 2 = 0) FROM conversations"
 )
 def routed_lines(w: Warehouse) -> DataFrame:
@@ -396,6 +398,9 @@ def routed_lines(w: Warehouse) -> DataFrame:
     root, turns = shared_folder(w.spark), w.table("conversations")
     turns.select(F.to_json(F.struct("conv_id", "turn")).alias("value")).write.option("compression", "gzip").text(f"{root}/json")
     turns.where("turn % 2 = 0").select(F.col("role").alias("value")).write.text(f"{root}/text")
+    stem = scalars.pseudonym("File", "CAST(turn % 8 AS STRING)", SALT)
+    dated = turns.where("turn % 2 = 1").select(F.expr(stem).alias("file"), F.col("role").alias("value"))
+    write_named(dated.repartition("file"), "file", ".txt", f"{root}/dated")
     turns.select("conv_id", "turn").write.csv(f"{root}/csv")
     kinds = ndjson.list_inputs(w.spark, f"{root}/*").select("kind").distinct()
     out = None
@@ -405,6 +410,35 @@ def routed_lines(w: Warehouse) -> DataFrame:
     return out.join(kinds, "kind")
 
 
+_FILE = "concat('notes-', conv_id % 16)"
+
+
+@register(
+    r"WITH t AS (SELECT *, CASE WHEN turn > 0 AND turn % 2 = 0 THEN 1 ELSE 0 END h,"
+    r" '2020-01-' || lpad(CAST(turn % 28 + 1 AS VARCHAR), 2, '0') || ' visit' AS header,"
+    r" list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '[\s\p{Z}]+$', '')) AS lines,"
+    rf" {_FILE} AS file FROM conversations),"
+    r" s AS (SELECT *, sum(h) OVER (PARTITION BY file ORDER BY conv_id, turn) AS seg FROM t),"
+    r" g AS (SELECT file, seg, max(CASE WHEN h = 1 THEN header END) AS header,"
+    r" string_agg(chr(10) || array_to_string(lines, chr(10)), '' ORDER BY conv_id, turn) AS text FROM s GROUP BY ALL)"
+    f" SELECT {q.uuid('File', 'file')} AS patient_uuid,"
+    " coalesce(header, '1900-01-01') AS note_date, text FROM g WHERE length(text) > 1"
+)
+def dated_note_files(w: Warehouse) -> DataFrame:
+    """Conversations as note files of many patients, found in a folder by name and cut at their date lines."""
+    root = shared_folder(w.spark)
+    header = (
+        f"CASE WHEN {_HEADER} THEN array(concat('2020-01-', lpad(CAST(turn % 28 + 1 AS STRING), 2, '0'),"
+        " ' visit  ')) ELSE array() END"
+    )
+    lines = w.table("conversations").selectExpr(
+        f"{scalars.pseudonym('File', _FILE, SALT)} AS file", "conv_id", "turn",
+        rf"posexplode(concat({header}, split(text, '\n'))) AS (pos, line)")
+    order = ["file", "conv_id", "turn", "pos"]
+    write_named(lines.repartition("file").sortWithinPartitions(*order).select("file", "line"), "file", ".txt", root)
+    return notes.segment_notes(notes.read_note_lines(w.spark, root)).select("patient_uuid", "note_date", "text")
+
+
 @register(q.query(
     "SELECT 'row' AS status, substr(START_DATE, 1, 10) AS note_date, count(*) AS n,"
     " CAST(sum(polarity) AS BIGINT) AS polarity"
@@ -954,13 +988,17 @@ def row_cap(w: Warehouse) -> DataFrame:
 
 
 @register(q.query(
-    f"SELECT {q.uuid('Observation', q.row_key('PATIENT_NUM', 'ENCOUNTER_NUM', 'CONCEPT_CD', 'START_DATE', 'TVAL_CHAR', 'occurrence'))} AS id"
-    " FROM (SELECT *, row_number() OVER (PARTITION BY PATIENT_NUM, ENCOUNTER_NUM, CONCEPT_CD, START_DATE, TVAL_CHAR)"
-    f" AS occurrence FROM lab_cohort) WHERE CONCEPT_CD <> 'LAB:0' AND {q.IN_COHORT} ORDER BY id LIMIT 100"
+    f"SELECT {q.uuid('Observation', q.row_key(*resources.LAB_VALUES))} AS id FROM lab_cohort"
+    f" WHERE CONCEPT_CD <> 'LAB:0' AND {q.IN_COHORT}"
+    f" ORDER BY {', '.join(f'{c} NULLS FIRST' for c in resources.LAB_VALUES)} LIMIT 100"
 ))
 def mapper_row_cap(w: Warehouse) -> DataFrame:
-    """The first mapped resources by id."""
-    return cap_rows(w.lab(), 100, ["id"]).select("id")
+    """The first mapped resources in the order of the source files."""
+    folder = shared_folder(w.spark)
+    ordered = w.extract("lab_cohort").repartitionByRange(*resources.LAB_VALUES).sortWithinPartitions(*resources.LAB_VALUES)
+    extracts.write_csv(ordered.select(*resources.LAB_VALUES), folder)
+    rows = extracts.read_extract(w.spark, folder, resources.LAB_VALUES, position=True, splittable=True)
+    return resources.map_lab_observation(rows, w.patients, w.encounters, SALT, resources.LAB_VALUES, limit=100).select("id")
 
 
 # --- snapshots -------------------------------------------------------------------------
