@@ -118,12 +118,13 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Write CSV with a header. ``files`` bounds the number of files for small outputs.
+def write_csv(df: DataFrame, path: str, balanced: bool = False) -> None:
+    """Write CSV with a header. ``balanced`` makes files of about equal size, as many as the bytes need.
 
-    The bound is an exchange at the sink only, so the work upstream keeps its parallelism.
+    The rows are exchanged once more at the sink, where adaptive execution merges small and splits
+    large partitions to its advisory size; the work upstream keeps its parallelism.
     """
-    out = df.repartition(files) if files else df
+    out = df.hint("rebalance") if balanced else df
     out.write.mode("overwrite").options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)

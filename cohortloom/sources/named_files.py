@@ -12,6 +12,7 @@ def write_named(lines: DataFrame, key: str, ending: str, folder: str) -> None:
 
     Rows of a key must be in one partition, in the wanted order. Files are written by Spark and
     then renamed one by one, so this is for a bounded number of keys; a key in two files is an error.
+    A file of the same name is replaced.
     """
     spark = lines.sparkSession
     work = shared_folder(spark)
@@ -19,8 +20,13 @@ def write_named(lines: DataFrame, key: str, ending: str, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(work).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
+    done = set()
     for found in files.globStatus(path(f"{work}/{key}=*/part-*")):
         name = found.getPath().getParent().getName().split("=", 1)[1]
-        if not files.rename(found.getPath(), path(f"{folder.rstrip('/')}/{name}{ending}")):
+        if name in done:
             raise ValueError(f"{key} {name} is in several files")
+        done.add(name)
+        target = path(f"{folder.rstrip('/')}/{name}{ending}")
+        files.delete(target, False)
+        files.rename(found.getPath(), target)
     files.delete(path(work), True)

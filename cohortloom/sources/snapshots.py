@@ -70,18 +70,18 @@ def _one(history: DataFrame):
 
 
 def write_snapshot(
-    df: DataFrame, path: str, committed_at: dt.datetime | None = None, files: int | None = None
+    df: DataFrame, path: str, committed_at: dt.datetime | None = None, balanced: bool = False
 ) -> int:
     """Write ``df`` as the newest version and return its number.
 
-    Rows are counted by the write itself. ``files`` bounds the files of a small table.
+    Rows are counted by the write itself. ``balanced`` makes files of about equal size.
     """
     spark = df.sparkSession
     last = _one(snapshot_history(spark, path))
     version, claim = last["version"] + 1 if last else 0, uuid.uuid4().hex
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    out = counted.repartition(files) if files else counted
+    out = counted.hint("rebalance") if balanced else counted
     out.write.parquet(_data_path(path, version, claim))
     return _commit(spark, path, version, "write", version, seen.get["rows"], committed_at, claim)
 

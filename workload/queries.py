@@ -1008,12 +1008,12 @@ def _day(n: int) -> dt.datetime:
     return dt.datetime(2022, 5, n, tzinfo=dt.timezone.utc)
 
 
-def _snapshots(w: Warehouse, files: int | None = None) -> str:
+def _snapshots(w: Warehouse, balanced: bool = False) -> str:
     """Three commits of the condition table: all, one code, all but that code."""
     path = shared_folder(w.spark)
     rows = w.tables["condition"].selectExpr("id", "code.coding[0].code AS code", "onsetDateTime AS onset")
     for n, part in enumerate((rows, rows.where("code = 'U07.1'"), rows.where("code <> 'U07.1'"))):
-        snapshots.write_snapshot(part, path, _day(10 + 5 * n), files)
+        snapshots.write_snapshot(part, path, _day(10 + 5 * n), balanced)
     return path
 
 
@@ -1058,7 +1058,7 @@ def snapshot_history(w: Warehouse) -> DataFrame:
 ))
 def manifest(w: Warehouse) -> DataFrame:
     """The manifest of the newest version as a text file, and the rows of the files it lists."""
-    path = _snapshots(w, files=1)
+    path = _snapshots(w, balanced=True)
     target = shared_folder(w.spark)
     snapshots.write_manifest(w.spark, path, target)
     listed = w.spark.read.text(target).selectExpr("value AS file", "regexp_extract(value, '/(version=[0-9]+)/', 1) AS folder")
@@ -1072,12 +1072,17 @@ def manifest(w: Warehouse) -> DataFrame:
 
 @register(q.query("SELECT * FROM cube_rows", **_V6))
 def cube_stream_load(w: Warehouse) -> DataFrame:
-    """A cube dropped as CSV files and loaded by the stream; a second run adds nothing."""
+    """A cube dropped as CSV files and loaded by the stream; a second run loads what was written again."""
     root = shared_folder(w.spark)
     schema = cube_schema({"enct_date": "date", **{d: "string" for d in reports.SYMPTOM_DIMS_6[1:]}})
     cube = reports.symptom_cube_v6(w.tables, AS_OF, YEAR).select(*schema.fieldNames())
-    extracts.write_csv(cube, f"{root}/drop", files=2)
-    for _ in range(2):
+    half = F.coalesce(F.col("gender") == "female", F.lit(False))
+    extracts.write_csv(cube.where(~half), f"{root}/drop/others", balanced=True)
+    head = w.spark.createDataFrame([(0, ",".join(schema.fieldNames()))], "pos int, line string")
+    for women in (cube.where(half).withColumn("cnt", F.col("cnt") + 1), cube.where(half)):
+        lines = head.unionByName(women.select(F.lit(1).alias("pos"), F.to_csv(F.struct(*schema.fieldNames())).alias("line")))
+        named = lines.withColumn("file", F.lit("women")).repartition("file").sortWithinPartitions("pos")
+        write_named(named.select("file", "line"), "file", ".csv", f"{root}/drop")
         load_arriving_cubes(w.spark, f"{root}/drop", f"{root}/loaded", f"{root}/log", schema).awaitTermination()
     return read_loaded_cubes(w.spark, f"{root}/loaded", schema).select(*schema.fieldNames())
 
