@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import fixed_values as fv
 from cohortloom.functions import scalars
 from cohortloom.functions.codes import text
+from cohortloom.session import settled, shared_folder
 from cohortloom.sources.ndjson import DATED_TEXT, read_lines
 from cohortloom.sources.positions import POSITION
 from cohortloom.sources.records import gather
@@ -66,7 +67,7 @@ def document_notes(documents: DataFrame, files: DataFrame) -> DataFrame:
 
     Keeps documents with a clinical-note category and attachments of plain text. The text
     is the attachment's base64 data, else the file at its url, looked up in ``files``
-    (path, text). Attachments with neither are in ``document_note_rejects``.
+    (path, text), which ``linked_texts`` reads. Attachments with neither are in ``document_note_rejects``.
     """
     keep = ["encounter", "patient_uuid", "note_date", "attachment_pos"]
     notes = _text_attachments(documents)
@@ -77,6 +78,39 @@ def document_notes(documents: DataFrame, files: DataFrame) -> DataFrame:
     return inline.unionByName(found.select(*keep, "text"))
 
 
+def linked_texts(documents: DataFrame, root: str, max_files: int = 10_000) -> DataFrame:
+    """(path, text) of the files that attachments without data name, for ``document_notes``.
+
+    ``path`` is the url as given: a path or url below the folder ``root``, or a name relative to it.
+    The folder is listed once, without contents, and only listed files that are named are opened.
+    Their names are dealt into batches of about ``max_files`` by hash; Spark packs the files of a
+    batch into tasks by size, and texts go to the shared folder, so the driver holds one batch of
+    names at a time. Named files that do not exist are left to ``document_note_rejects``.
+    """
+    spark, base = documents.sparkSession, root.rstrip("/")
+    urls = _text_attachments(documents).where("data IS NULL AND url IS NOT NULL").select("url").distinct()
+    full = F.when(F.col("url").rlike(r"^(\w+:)?/"), F.col("url")).otherwise(F.concat(F.lit(f"{base}/"), F.col("url")))
+    wanted = urls.withColumn("key", _plain(full))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
+    met = settled(listed.withColumn("key", _plain(F.col("path"))).join(wanted.select("key").distinct(), "key", "left_semi"))
+    batches = -(-met.count() // max_files)
+    folder = shared_folder(spark)
+    for k in range(batches):
+        names = [r["path"] for r in met.where(F.pmod(F.xxhash64("key"), F.lit(batches)) == k).select("path").collect()]
+        if names:
+            contents = spark.read.format("binaryFile").load(names)
+            contents.select(_plain(F.col("path")).alias("key"), F.decode("content", "UTF-8").alias("text")).write.mode("append").parquet(folder)
+    if not batches:
+        return spark.createDataFrame([], NO_FILES)
+    texts = spark.read.schema("key string, text string").parquet(folder)
+    return wanted.join(texts, "key").select(F.col("url").alias("path"), "text")
+
+
+def _plain(path):
+    """A path with its scheme, if any, in front of one slash; the local scheme is left out."""
+    return F.regexp_replace(F.regexp_replace(path, r"^(\w+):/+", "$1:/"), "^file:", "")
+
+
 def document_note_rejects(documents: DataFrame, files: DataFrame) -> DataFrame:
     """(encounter, patient_uuid, note_date, attachment_pos, url) of text attachments without a text."""
     known = files.where("text IS NOT NULL").selectExpr("path AS url")

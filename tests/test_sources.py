@@ -140,6 +140,24 @@ def test_document_notes_inline_linked_and_skipped(spark, tmp_path):
     assert {r["url"] for r in notes.document_note_rejects(rows, files.limit(0)).collect()} == {"/n/1", "/n/none"}
 
 
+@pytest.mark.parametrize("max_files", [1, 100])
+def test_only_named_files_are_opened(spark, tmp_path, max_files):
+    root = tmp_path / "notes"
+    (root / "sub").mkdir(parents=True)
+    for name in ("a.txt", "sub/b.txt", "never named.txt"):
+        (root / name).write_bytes(f"text of {name}\né".encode())
+    urls = ["a.txt", "sub/b.txt", f"{root}/a.txt", f"file://{root}/sub/b.txt", "missing.txt", "/elsewhere/a.txt"]
+    docs = [document("Encounter/" + "a" * 36, [{"contentType": "text/plain", "url": u} for u in urls])]
+    (tmp_path / "d.ndjson").write_text("\n".join(docs))
+    rows, _ = ndjson.read_ndjson(spark, str(tmp_path / "d.ndjson"), schemas.RESOURCES["DocumentReference"])
+    files = notes.linked_texts(rows, str(root), max_files)
+    assert {r["path"]: r["text"] for r in files.collect()} == {
+        u: f"text of {'a.txt' if u.endswith('a.txt') else 'sub/b.txt'}\né" for u in urls[:4]}
+    assert notes.document_notes(rows, files).count() == 4
+    assert {r["url"] for r in notes.document_note_rejects(rows, files).collect()} == set(urls[4:])
+    assert notes.linked_texts(rows.limit(0), str(root)).count() == 0
+
+
 def test_id_maps(spark, tmp_path):
     cohort = spark.createDataFrame([("1",), ("1",), ("2",), (None,)], "K string")
     first = idmaps.cohort_id_map(cohort, "K", "Patient", "s")
