@@ -2,13 +2,19 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. A stage's
 result is written as Parquet and read again as the next one's documents.
+
+Defined results: columns that a stage does not read may be null and have any names; a null text
+counts as empty (each stage's module says what that gives); of rows that repeat id and text one
+stays; rows without an id are kept unless another row of their group has one; texts of any length are
+read whole; of equal ids in a group of equal texts one row stays; an empty table gives an empty
+result from every stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import decontaminate, exact_dedup, similar_texts, toxicity
+from cohortloom.llm import decontaminate, exact_dedup, simhash_dedup, toxicity
 from cohortloom.llm.common import documents
 from cohortloom.llm.queries import bpe_digests, toxicity_model
 from cohortloom.session import shared_folder
@@ -25,8 +31,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a similarity of 0.8 or more in five-word shingles, the row with the smallest doc_id."""
-    return similar_texts.drop_similar(docs)
+    """Of texts linked by fingerprints at 4 or fewer of 64 bits, over four-word shingles, the row with the smallest doc_id."""
+    return simhash_dedup.drop_near_duplicates(docs, simhash_dedup.RADIUS)
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
