@@ -5,9 +5,9 @@ encoded once, and words go back into their texts by look-up. Words start as one
 (word, position, token). A recursive query joins neighbouring tokens with the merge table,
 contracts each word's leftmost pair of the smallest rank, and ends when no word has a pair
 left. Long words are first cut where no vocabulary token that they contain crosses; pieces that
-are still long contract all their pairs of that rank at once, from the left, where no token that
-a merge makes can take part in a merge of smaller rank. The ids are the same. An unbroken run of
-many thousand letters in which such cuts are rare stays slow, but not large.
+are still long contract all their pairs of that rank in one round, from the left, up to the first
+one whose new token makes a pair of smaller rank. The ids are the same. A round passes over the
+whole piece, so a piece of many thousand letters with thousands of different pairs is slow.
 
 Decoding joins token rows with the vocabulary and concatenates bytes by an ordered aggregation.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -33,12 +34,12 @@ from pyspark.sql import functions as F
 from cohortloom.llm.common import text_of, worker_state
 
 #: Characters of text, bytes of new words and tokens that are handled at a time.
-TEXT_CHARS = 2_000_000
-WORD_BYTES = 400_000
-DECODE_TOKENS = 250_000
+TEXT_CHARS = 4_000_000
+WORD_BYTES = 600_000
+DECODE_TOKENS = 1_000_000
 #: Encoded words that a worker keeps between texts and partitions, in two generations: words
 #: met again move to the younger one, and a full one pushes the older one out.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 2_000_000
 #: Words of more bytes are cut where no token can lie; what is still longer contracts all pairs of
 #: its smallest rank at once, so many rounds to a query.
 LONG_WORD = 64
@@ -70,20 +71,31 @@ WITH RECURSIVE state(w, pos, tok, npos, ntok, merged, done) AS (
     FROM made m LEFT JOIN merges g ON g.pair = CASE WHEN fresh THEN (m.tok::BIGINT << 32) | m.ntok END))
 SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w"""
 
-# The same for long words: in a run of overlapping pairs every second one is contracted. A query
-# ends after some rounds, and its last state starts the next one, so that states don't pile up.
+# The same for long words, with many contractions to a round: occurrences of a word's smallest rank
+# are contracted from the left up to the first one whose new token makes a pair of smaller rank with
+# a neighbour or with itself; that one comes before all later occurrences. In a run of overlapping
+# pairs every second one is contracted. A query ends after some rounds, and its last state starts the
+# next one, so that states don't pile up.
 LONG_WORDS = """
 WITH RECURSIVE state(w, pos, tok, next, done, round) AS (
   SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos), false, 0 FROM start
   UNION ALL (
     WITH ranked AS (
-      SELECT s.w, s.pos, s.tok, s.round, g.merged, g.closed
-      FROM state s LEFT JOIN merges g ON g.pair = ((s.tok::BIGINT << 32) | s.next) WHERE NOT s.done AND s.round < {rounds}),
-    best AS (SELECT w, min((merged::BIGINT << 32) | pos) AS b FROM ranked WHERE merged IS NOT NULL GROUP BY w),
+      SELECT s.w, s.pos, s.tok, s.round, g.merged, lag(s.tok) OVER near AS before, lead(s.tok, 2) OVER near AS after
+      FROM state s LEFT JOIN merges g ON g.pair = ((s.tok::BIGINT << 32) | s.next) WHERE NOT s.done AND s.round < {rounds}
+      WINDOW near AS (PARTITION BY s.w ORDER BY s.pos)),
+    best AS (SELECT w, min(merged) AS best FROM ranked GROUP BY w),
+    met AS (SELECT r.*, best FROM ranked r JOIN best USING (w) WHERE merged = best),
+    stops AS (
+      SELECT m.w, min(m.pos) AS stop
+      FROM met m LEFT JOIN merges a ON a.pair = ((m.before::BIGINT << 32) | m.merged)
+      LEFT JOIN merges b ON b.pair = ((m.merged::BIGINT << 32) | m.after)
+      LEFT JOIN merges c ON c.pair = ((m.merged::BIGINT << 32) | m.merged)
+      WHERE least(a.merged, b.merged, c.merged) < m.best GROUP BY m.w),
     marked AS (
-      SELECT r.*, b IS NULL AS done, coalesce(merged = (b >> 32) AND (closed OR pos = (b & 4294967295)), false) AS hit
-      FROM ranked r LEFT JOIN best USING (w)),
-    runs AS (SELECT *, count(*) FILTER (NOT hit) OVER (PARTITION BY w ORDER BY pos) AS run FROM marked),
+      SELECT r.w, r.pos, r.tok, r.round, r.merged, best IS NULL AS done, coalesce(merged = best AND (stop IS NULL OR pos <= stop), false) AS hit
+      FROM ranked r JOIN best USING (w) LEFT JOIN stops USING (w)),
+    runs AS (SELECT *, sum((NOT hit)::INT) OVER (PARTITION BY w ORDER BY pos) AS run FROM marked),
     cuts AS (SELECT *, hit AND row_number() OVER (PARTITION BY w, run, hit ORDER BY pos) % 2 = 1 AS cut FROM runs),
     made AS (
       SELECT w, pos, CASE WHEN cut THEN merged ELSE tok END AS tok, done, round + 1 AS round,
@@ -92,8 +104,8 @@ WITH RECURSIVE state(w, pos, tok, next, done, round) AS (
 SELECT w, done, list(tok ORDER BY pos) AS ids FROM state WHERE done OR round = {rounds} GROUP BY w, done ORDER BY w"""
 
 DECODE = """
-SELECT row, from_hex(string_agg(hex, '' ORDER BY pos)) AS data
-FROM tokens LEFT JOIN vocabulary USING (id) GROUP BY row ORDER BY row"""
+SELECT row, array_to_string(list(chars ORDER BY pos), '') AS data
+FROM tokens JOIN vocabulary USING (id) GROUP BY row ORDER BY row"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -101,11 +113,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+def ascii_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern for texts of ASCII characters, if letters and numbers are all the properties it names."""
+    in_sets = re.sub(r"\[[^\]]*\]", lambda m: m[0].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9"), pattern)
+    plain = in_sets.replace(r"\p{L}", "[a-zA-Z]").replace(r"\p{N}", "[0-9]")
+    return None if r"\p" in plain.lower() else re.compile(plain, re.ASCII)
+
+
 class Engine:
     """One DuckDB connection with the merge table and vocabulary of a rank file."""
 
     def __init__(self, path: str, pattern: str) -> None:
         self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
+        self.ascii = ascii_pattern(pattern)
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tokens_inside: ahocorasick.Automaton | None = None
@@ -118,14 +138,9 @@ class Engine:
         ]
         left, right, merged = (pa.array(x, pa.int32()) for x in zip(*pairs))
         pairs = pa.table({"l": left, "r": right, "merged": merged})
-        # A token is closed if every merge it takes part in has a larger rank than its own.
-        self.db.sql("""
-            CREATE TABLE merges AS
-            WITH least AS (SELECT id, min(merged) AS least FROM (
-              SELECT l AS id, merged FROM pairs UNION ALL SELECT r, merged FROM pairs) GROUP BY id)
-            SELECT (l::BIGINT << 32) | r AS pair, merged, coalesce(least > merged, true) AS closed
-            FROM pairs LEFT JOIN least ON id = merged""")
-        words = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
+        self.db.sql("CREATE TABLE merges AS SELECT (l::BIGINT << 32) | r AS pair, merged FROM pairs")
+        # Bytes as the characters of the same numbers: strings are what DuckDB concatenates.
+        words = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "chars": [t.decode("latin-1") for t in self.ranks]})
         self.db.sql("CREATE TABLE vocabulary AS SELECT * FROM words")
 
     def contracted(self, words: list[bytes], query: str = SHORT_WORDS) -> list[bytes]:
@@ -212,9 +227,12 @@ class Engine:
                 size = 0
         flush()
 
+    def words(self, text: str) -> list[str]:
+        return (self.ascii if self.ascii and text.isascii() else self.pattern).findall(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of 32-bit integers."""
-        words = [self.pattern.findall(text) for text in texts]
+        words = [self.words(text) for text in texts]
         new = set().union(*words)
         if len(self.kept) + len(new) > KEPT_WORDS // 2:
             self.older, self.kept = self.kept, {}
@@ -236,7 +254,7 @@ class Engine:
         found = self.db.sql(DECODE).to_arrow_table()
         self.db.unregister("tokens")
         for at, data in zip(found.column("row").to_pylist(), found.column("data").to_pylist()):
-            out[at] = data
+            out[at] = data.encode("latin-1")
         return out
 
 

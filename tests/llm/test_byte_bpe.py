@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -68,6 +69,24 @@ def test_long_words(theirs, monkeypatch):
         assert b"".join(parts) == data and all(parts)
 
 
+@pytest.mark.parametrize("text", ["a" * 1_000_000, "ab" * 100_000, "the" * 60_000])
+def test_long_words_take_linear_time(text):
+    own = b.engine(PATH, PATTERN)
+    began = time.process_time()
+    ids = np.frombuffer(own.encode([text])[0], "<i4")
+    assert time.process_time() - began < 30
+    assert own.decode(ids, np.array([len(ids)])) == [text.encode()]
+
+
+def test_occurrences_stop_at_a_smaller_rank(theirs):
+    own, rng = b.engine(PATH, PATTERN), random.Random(7)
+    for letters in ("ab", "theab", "aes", "xyab", "ei日"):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 300))) for _ in range(60)]
+        got = own.contracted([w.encode() for w in words], b.LONG_WORDS)
+        whole = [np.frombuffer(x, "<i4").tolist() for x in got]
+        assert whole == [theirs._encode_single_piece(w) for w in words]
+
+
 def test_generations_keep_results(monkeypatch, theirs):
     own = b.Engine(PATH, PATTERN)
     monkeypatch.setattr(b, "KEPT_WORDS", 8)
@@ -93,6 +112,14 @@ def test_table(docs_of, theirs):
     assert b.decode(b.encode(docs_of([]), PATH, PATTERN), PATH, PATTERN).count() == 0
 
 
+def test_ascii_texts_have_the_same_words():
+    own, rng = b.engine(PATH, PATTERN), random.Random(11)
+    for _ in range(2000):
+        text = "".join(chr(rng.randrange(128)) for _ in range(rng.randint(0, 40)))
+        assert own.words(text) == own.pattern.findall(text), repr(text)
+    assert b.ascii_pattern(r"\p{Lu}+|x") is None
+
+
 def test_unknown_and_null_ids(spark):
     good = spark.createDataFrame([(1, [1, 2]), (2, None), (3, [])], "doc_id long, ids array<int>")
     assert [len(r["decoded"]) > 0 for r in b.decode(good, PATH, PATTERN).orderBy("doc_id").collect()] == [True, False, False]
