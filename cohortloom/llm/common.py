@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.session import shared_folder
@@ -70,3 +70,25 @@ def text_of(column: str = "text"):
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or that with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def rows_of_keepers(docs: DataFrame, keepers: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """One row of ``docs``, with its columns, per row of ``keepers`` (id, digest, rows).
+
+    Id and digest name the row that stays; rows that repeat both are alike, and just these pass
+    through an aggregation of whole rows. Rows travel as one struct, so that their columns may
+    have any names.
+    """
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("own_id"), digest.alias("own_digest"))
+    met = packed.join(keepers, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_digest") == F.col("digest")))
+    once, again = met.where("rows = 1"), met.where("rows > 1").dropDuplicates(["id", "digest"])
+    return once.unionByName(again).select("row.*")

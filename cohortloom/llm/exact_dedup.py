@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import WHITE_SPACE, settled, text_of
+from cohortloom.llm.common import WHITE_SPACE, rows_of_keepers, settled, text_of
 
 #: A digest is heavy if it holds at least one in so many rows.
 HEAVY_ONE_IN = 256
@@ -90,17 +90,10 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns.
-
-    Rows that repeat id and text are the only ones that id and digest cannot tell apart; just
-    these pass through an aggregation of whole rows.
-    """
+    """The rows of ``docs`` that stay, with their columns, whatever these are called."""
     found = exact_duplicates(docs, id_col, text_col)
     keepers = settled(
-        found.groupBy(F.col(id_col).alias("_id"), F.col("digest").alias("_digest"))
-        .agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows")).where("_kept").drop("_kept")
+        found.groupBy(F.col(id_col).alias("id"), "digest")
+        .agg(F.max("kept").alias("stays"), F.count("*").alias("rows")).where("stays").drop("stays")
     )
-    named = docs.withColumn("_own", text_digest(text_col))
-    met = named.join(keepers, named[id_col].eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")))
-    once, again = met.where("_rows = 1"), met.where("_rows > 1").dropDuplicates(["_id", "_digest"])
-    return once.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows_of_keepers(docs, keepers, id_col, text_digest(text_col))

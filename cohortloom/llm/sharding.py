@@ -17,7 +17,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import settled, text_of
+from cohortloom.llm.common import settled, text_of, unused
 from cohortloom.session import shared_folder
 
 SLOTS = 4096
@@ -140,6 +140,6 @@ def write_shards(docs: DataFrame, shard_map: DataFrame, folder: str, slots: int
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write whole records, one folder per shard and one or more files per group of slots."""
     slot = F.pmod(F.xxhash64(F.col(id_col), F.crc32(F.encode(text_of(text_col), "UTF-8"))), F.lit(slots)).cast("int")
-    named = docs.withColumn("_slot", slot)
-    held = shard_map.select(F.col("slot").alias("_slot"), F.col("shard").alias("_shard"))
-    named.join(F.broadcast(held), "_slot").drop("_slot").write.partitionBy("_shard").parquet(folder)
+    slot_col, shard_col = unused(docs, "_slot"), unused(docs, "_shard")
+    held = shard_map.select(F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))
+    docs.withColumn(slot_col, slot).join(F.broadcast(held), slot_col).drop(slot_col).write.partitionBy(shard_col).parquet(folder)

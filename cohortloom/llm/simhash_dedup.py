@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import settled, text_of, worker_state
+from cohortloom.llm.common import rows_of_keepers, settled, text_of, worker_state
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -297,20 +297,8 @@ def hex_print(column: str = "print"):
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
                          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row of ``docs`` per component, with its columns: the smallest id, null ids last."""
-    return keep_first(docs, _with_roots(docs, radius, id_col, text_col, block_rows), id_col, text_col)
-
-
-def keep_first(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row of ``docs`` per root in ``rows`` (id, digest, root).
-
-    Id and digest name the row that stays; rows that repeat both are alike, and just these
-    pass through an aggregation of whole rows.
-    """
+    rows = _with_roots(docs, radius, id_col, text_col, block_rows)
     alike = rows.groupBy("root", "id", "digest").agg(F.count("*").alias("rows"))
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest", "rows")
-    keepers = settled(alike.groupBy("root").agg(F.min(first).alias("k")).select(
-        F.col("k.id").alias("_id"), F.col("k.digest").alias("_digest"), F.col("k.rows").alias("_rows")))
-    named = docs.withColumn("_own", text_digest(text_col))
-    met = named.join(keepers, named[id_col].eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")))
-    once, again = met.where("_rows = 1"), met.where("_rows > 1").dropDuplicates(["_id", "_digest"])
-    return once.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keepers = settled(alike.groupBy("root").agg(F.min(first).alias("k")).select("k.id", "k.digest", "k.rows"))
+    return rows_of_keepers(docs, keepers, id_col, text_digest(text_col))

@@ -10,7 +10,8 @@ def docs_of(spark):
     def make(pairs, extra=True):
         df = spark.createDataFrame([(i, t, None, "s", 0) for i, t in pairs], SCHEMA)
         if extra:
-            for name in ("id", "digest", "rank", "kept", "keep_id", "print", "component", "shard", "size", "score", "data", "w", "_x"):
+            for name in ("id", "digest", "rank", "kept", "keep_id", "print", "component", "shard", "size", "score", "data", "w", "_x", "_id", "_digest", "_rows", "_own",
+                         "_slot", "_shard", "row", "own_id", "own_digest", "rows"):
                 df = df.selectExpr("*", f"'{name}' AS {name}")
         return df
 
