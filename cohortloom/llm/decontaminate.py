@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import text_of, worker_state
+from cohortloom.llm.common import settled, text_of, worker_state
 
 K1, B = 1.2, 0.75
 #: Share of an item's score against itself that a passage must reach to be verified.
@@ -93,8 +93,20 @@ class Index:
     answers: list[set[int]]
 
 
-def build_index(rows: list[tuple[int, str]], block_items: int = BLOCK_ITEMS) -> Index | None:
-    """Index of (item_id, text); items without words are left out."""
+@dataclass
+class Statistics:
+    """Items with words and their mean length, and in how many of them a word occurs."""
+
+    items: int
+    mean: float
+    frequency: dict[str, int]
+
+
+def build_index(rows: list[tuple[int, str]], block_items: int = BLOCK_ITEMS, known: Statistics | None = None) -> Index | None:
+    """Index of (item_id, text); items without words are left out.
+
+    ``known`` are the statistics of all items where ``rows`` are a part of them.
+    """
     parsed = sorted(((words_of(text), item, text) for item, text in rows), key=lambda x: (len(x[0]), x[1]))
     parsed = [x for x in parsed if x[0]]
     if not parsed:
@@ -103,10 +115,11 @@ def build_index(rows: list[tuple[int, str]], block_items: int = BLOCK_ITEMS) ->
     for words, _, _ in parsed:
         for word in words:
             terms.setdefault(word, len(terms))
-    n, mean = len(parsed), sum(len(x[0]) for x in parsed) / len(parsed)
     counts = [Counter(terms[w] for w in words) for words, _, _ in parsed]
-    frequency = Counter(t for c in counts for t in c)
-    idf = {t: math.log(1 + (n - f + 0.5) / (f + 0.5)) for t, f in frequency.items()}
+    if known is None:
+        known = Statistics(len(parsed), sum(len(x[0]) for x in parsed) / len(parsed), Counter(w for words, _, _ in parsed for w in set(words)))
+    n, mean = known.items, known.mean
+    idf = {t: math.log(1 + (n - f + 0.5) / (f + 0.5)) for w, t in terms.items() for f in (known.frequency[w],)}
     postings: list[list[tuple[int, float]]] = [[] for _ in terms]
     for k, (words, _, _) in enumerate(parsed):
         norm = K1 * (1 - B + B * len(words) / mean)
@@ -219,16 +232,48 @@ def _group_matches(index: Index, texts: list[np.ndarray], share: float, overlap:
 # --- on Spark ----------------------------------------------------------------------------
 
 
+def word_frequencies(benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, items, words): items that hold a word; the empty word counts all items with words, and their words."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, lengths = [], []
+            for text in batch.column(0):
+                found = words_of(text.as_py())
+                if found:
+                    own = sorted(set(found))
+                    words += ["", *own]
+                    lengths += [len(found), *[0] * len(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(lengths, pa.int64())], ["word", "words"])
+
+    found = benchmark.select(text_of(text_col).alias("text")).mapInArrow(run, "word string, words long")
+    return settled(found.groupBy("word").agg(F.count("*").alias("items"), F.sum("words").alias("words")))
+
+
 def indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", chunk: int = CHUNK_ITEMS) -> Iterator[Index]:
-    """Indexes over chunks of the items; only one chunk is on the driver at a time."""
+    """Indexes over chunks of the items, by id; only one chunk is on the driver at a time.
+
+    Frequencies and mean length are those of all items, so an item scores the same in any chunk.
+    """
+    frequencies = word_frequencies(benchmark, text_col)
+    whole = frequencies.where("word = ''").first()
+    if whole is None:
+        return
+
+    def index_of(rows: list[tuple]) -> Index | None:
+        words = sorted({w for _, text in rows for w in words_of(text)})
+        wanted = frequencies.sparkSession.createDataFrame([(w,) for w in words], "word string")
+        found = frequencies.join(wanted, "word", "left_semi").collect()  # no more than the chunk's words
+        known = Statistics(whole["items"], whole["words"] / whole["items"], {r["word"]: r["items"] for r in found})
+        return build_index(rows, known=known)
+
     rows = []
-    for row in benchmark.select(F.col(item_col), text_of(text_col)).toLocalIterator():
+    for row in benchmark.select(F.col(item_col).alias("item"), text_of(text_col).alias("text")).sort("item", "text").toLocalIterator():
         rows.append((row[0], row[1]))
         if len(rows) == chunk:
-            if index := build_index(rows):
+            if index := index_of(rows):
                 yield index
             rows = []
-    if index := build_index(rows):
+    if rows and (index := index_of(rows)):
         yield index
 
 

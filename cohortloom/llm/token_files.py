@@ -303,19 +303,30 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Strings of added tokens are found in the text as it is, and what is between them is encoded apart.
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(token.normalized or token.single_word or token.lstrip or token.rstrip for token in added.values()):
+            raise ValueError(f"{path} has added tokens that look at their surroundings")
+        self.added = {token.content: i.to_bytes(4, "little") for i, token in added.items()}
+        self.marks = re.compile("|".join(f"({re.escape(x)})" for x in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.kept: dict[str, bytes] = {"": b""}
+        self.kept: dict[str, bytes] = {"": b"", **self.added}
         self.older: dict[str, bytes] = {}
 
+    def stretches(self, text: str) -> list[str]:
+        """Stretches without white space, and strings of added tokens, in order."""
+        if self.marks.search(text):
+            return [x for part in self.marks.split(text) if part for x in ([part] if part in self.added else self.stretches(part))]
+        return GAPS.split(text) if any(c in text for c in SEPARATORS) else text.split()
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Little-endian ids of each text; each distinct stretch without white space is encoded once."""
-        chunks = [GAPS.split(text) if any(c in text for c in SEPARATORS) else text.split() for text in texts]
+        chunks = [self.stretches(text) for text in texts]
         new = set().union(*chunks)
         if len(self.kept) + len(new) > KEPT_CHUNKS // 2:
-            self.older, self.kept = self.kept, {"": b""}
+            self.older, self.kept = self.kept, {"": b"", **self.added}
         self.recall(new)
         split = {chunk: m.groups() for chunk in new if (m := TAIL.fullmatch(chunk))}
         parts = {part for pair in split.values() for part in pair} | new.difference(split)

@@ -14,7 +14,7 @@ blocked.
 Everything runs on DataFrame functions. Per round only a few numbers reach the driver.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule and is
-allowed; hosts without links and rules have neither trust nor distrust and are allowed; links
+allowed; of rules that fit and are of equal length the first by name holds; hosts without links and rules have neither trust nor distrust and are allowed; links
 of a host to itself and relative links carry nothing; repeated pages count as often as they
 occur; an empty table gives an empty result; other columns are ignored.
 """
@@ -30,8 +30,8 @@ from cohortloom.llm.common import settled
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
-ROUNDS = 30
-#: Rounds end once the ranks move by less than this in sum.
+#: Rounds end once the ranks move by less than this share of the seeds in sum; a round moves them
+#: by at most ``DAMPING`` times what the one before did, so this takes 86 rounds at most.
 TOLERANCE = 1e-6
 #: Blame moves by less than this per host in the last round.
 BLAME_TOLERANCE = 1e-3
@@ -103,7 +103,7 @@ def _flows(edges: DataFrame) -> DataFrame:
     return both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("all")).alias("share"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
     """(kind, host, rank): personalised PageRank of each kind, on the scale of its seeds.
 
     ``seeds`` has (kind, host, seed). What hosts without outgoing edges hold goes back to the
@@ -112,7 +112,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     mass = {r["kind"]: r["mass"] for r in seeds.groupBy("kind").agg(F.sum("seed").alias("mass")).collect()}
     flows = settled(_flows(edges))
     ranks = settled(seeds.select("kind", "host", "seed", F.col("seed").alias("rank")))
-    for _ in range(rounds if mass else 0):
+    while mass:
         moved = (
             flows.join(ranks.where("rank > 0").select("kind", F.col("host").alias("src"), "rank"), ["kind", "src"])
             .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
@@ -130,19 +130,19 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         rank = (1 - damping) * F.col("seed") + damping * (F.col("got") + back * F.col("seed"))
         ranks = settled(joined.select("kind", "host", "seed", "old", rank.alias("rank")))
         change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
-        if change < TOLERANCE:
+        if change < TOLERANCE * sum(mass.values()):
             break
     return ranks.select("kind", "host", "rank")
 
 
-def blames(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def blames(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
     """(host, blame) from (host, own, ratio): own, or the damped mean blame of link targets times ratio."""
     out = edges.groupBy("src").agg(F.sum("links").alias("all"))
     shares = settled(
         edges.join(out, "src").join(hosts.select(F.col("host").alias("src"), "ratio").where("ratio > 0"), "src")
         .select("src", "dst", (F.lit(damping) * F.col("ratio") * F.col("links") / F.col("all")).alias("share")))
     now = hosts.select("host", "own", F.col("own").alias("blame"))
-    for _ in range(rounds):
+    while True:
         passed = (
             shares.join(now.where("blame > 0").select(F.col("host").alias("dst"), "blame"), "dst")
             .groupBy(F.col("src").alias("host")).agg(F.sum(F.col("share") * F.col("blame")).alias("got"))
@@ -150,8 +150,7 @@ def blames(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds:
         now = settled(now.join(passed, "host", "left").select(
             "host", "own", F.col("blame").alias("old"), F.greatest("own", F.coalesce("got", F.lit(0.0))).alias("blame")))
         if (now.agg(F.max(F.abs(F.col("blame") - F.col("old")))).first()[0] or 0.0) < BLAME_TOLERANCE:
-            break
-    return now.select("host", "blame")
+            return now.select("host", "blame")
 
 
 def judge_urls(

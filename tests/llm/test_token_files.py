@@ -18,7 +18,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def theirs():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
 
@@ -109,3 +108,10 @@ def test_query_checksums(spark, theirs):
     for r in op7_token_files(spark, "/root/testdata/sf0.001").collect():
         ids = theirs(texts[r["doc_id"]])
         assert r["n_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_strings_of_added_tokens(theirs):
+    own = t.Words(PATH)
+    for text in ("a <|endoftext|> b", "a<|endoftext|>b", "<|ENDOFTEXT|>", "<|endoftext|><|startoftext|>x", "don<|endoftext|>'t",
+                 "é<|endoftext|>\u0301", "<|endoftext|", "\x1c<|startoftext|>\x1d y", "<|endoftext|>" * 50, "<|<|endoftext|>|>"):
+        assert np.frombuffer(own.encode([text], 2)[0], "<u4").tolist() == theirs(text), text

@@ -45,7 +45,7 @@ def test_ranks_against_dense_iteration(spark):
     links = {(int(a), int(b)): int(n) for a, b, n in zip(rng.integers(0, 12, 40), rng.integers(0, 12, 40), rng.integers(1, 5, 40)) if a != b and a != 3}
     edges = spark.createDataFrame([(hosts[a], hosts[b], n) for (a, b), n in links.items()], "src string, dst string, links long")
     seeds = spark.createDataFrame([("trust", hosts[0], 1.0), ("trust", hosts[1], 0.5), ("distrust", hosts[2], 0.25)], "kind string, host string, seed double")
-    got = {(r["kind"], r["host"]): r["rank"] for r in u.propagate(seeds, edges, rounds=60).collect()}
+    got = {(r["kind"], r["host"]): r["rank"] for r in u.propagate(seeds, edges).collect()}
     for kind, start in (("trust", {0: 1.0, 1: 0.5}), ("distrust", {2: 0.25})):
         m = np.zeros((12, 12))
         for (a, b), n in links.items():
