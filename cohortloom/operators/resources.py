@@ -18,7 +18,7 @@ from cohortloom.functions import fixed_values as fv
 from cohortloom.functions import nested as n
 from cohortloom.functions.codes import text
 from cohortloom.operators.dedup import cap_in_source_order, first_per_key, number_equal_rows
-from cohortloom.sources.idmaps import attach
+from cohortloom.sources.idmaps import ANY_ID, attach
 
 PATIENT, ENCOUNTER = "PATIENT_NUM", "ENCOUNTER_NUM"
 LAB_VALUES = [PATIENT, ENCOUNTER, "CONCEPT_CD", "START_DATE", "TVAL_CHAR"]
@@ -28,7 +28,7 @@ ENCOUNTER_REF = n.reference(scalars.reference_to("Encounter", "encounter_uuid"))
 
 def in_cohort(df: DataFrame, patients: DataFrame) -> DataFrame:
     """Rows whose patient is in the cohort."""
-    keys = patients.select(F.col("source_id").alias(PATIENT))
+    keys = patients.where(ANY_ID).select(F.col("source_id").alias(PATIENT))
     return df.join(keys, PATIENT, "left_semi")
 
 

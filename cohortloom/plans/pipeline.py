@@ -23,6 +23,7 @@ from cohortloom.operators import mentions, resources
 from cohortloom.operators.annotate import to_stored
 from cohortloom.operators.dedup import cap_rows
 from cohortloom.session import settled
+from cohortloom.sources.catalog import register_tables
 from cohortloom.sources.idmaps import has_id_map, load_id_map, save_id_map
 from cohortloom.sources.publish import last_published, publish
 
@@ -110,6 +111,12 @@ def read_tables(
     return out
 
 
+def register_store(spark: SparkSession, folder: str, database: str) -> None:
+    """The last published tables as ``database.patient`` and so on, for reports in SQL."""
+    root = _published(spark, folder)
+    register_tables(spark, database, {name: (f"{root}/{name}", df.schema) for name, df in read_tables(spark, folder).items()})
+
+
 def read_rejects(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     """What a stage of the last published run did not map."""
     return spark.read.parquet(f"{_published(spark, folder)}/reject_{stage}")
