@@ -1,66 +1,33 @@
-"""Versioned Parquet tables: commit, history, restore, manifest.
+"""Versions of a Parquet table: one folder per write, and a small table of what was done.
 
-A table is a folder with one data folder per commit and a history table. A data folder
-is visible only through its history row, which is written last, so an interrupted write
-leaves no trace for readers. A restore adds a history row that points at older data and
-copies nothing. Every write has a data folder of its own name, so writers never overwrite
-each other; of two that commit the same version the first one has it and the other fails.
+A table has one writer at a time. Data of a version lie in ``version=N``; the history row that
+names it is written after them, so a write that was interrupted is not read, and the next one
+takes its folder. A restore is a history row for older data, which stay where they are.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortloom.sources.publish import read_if_present
 
-HISTORY = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("committed_at", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("source_version", T.LongType()),
-    T.StructField("rows", T.LongType()),
-    T.StructField("claim", T.StringType()),
-    T.StructField("claimed_at", T.TimestampType()),
-])
+HISTORY = "version long, committed_at timestamp, operation string, source_version long, rows long"
 
 
 def _history_path(path: str) -> str:
     return f"{path.rstrip('/')}/history"
 
 
-def _data_path(path: str, version: int, claim: str) -> str:
-    return f"{path.rstrip('/')}/version={version}/{claim}"
-
-
-def _claims(spark: SparkSession, path: str) -> DataFrame:
-    """Who committed each version: of two writers of one version, the first."""
-    rows = read_if_present(spark, _history_path(path), HISTORY)
-    first = F.min_by(F.struct(*rows.columns), F.struct("claimed_at", "claim")).alias("first")
-    return rows.groupBy("version").agg(first).select("first.*")
+def _data_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/version={version}"
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
-    """(version, committed_at, operation, source_version, rows), one row per commit."""
-    return _claims(spark, path).drop("claim", "claimed_at")
-
-
-def _commit(spark, path, version, operation, source_version, rows, committed_at, claim) -> int:
-    """Append the commit; an error if another writer took the version first.
-
-    The loser's data stays in a folder that no history row in use names.
-    """
-    now = dt.datetime.now(dt.timezone.utc)
-    row = [(version, committed_at or now, operation, source_version, rows, claim, now)]
-    spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(_history_path(path))
-    winner = _one(_claims(spark, path).where(F.col("version") == version))
-    if winner["claim"] != claim:
-        raise RuntimeError(f"version {version} of {path} was taken by another writer")
-    return version
+    """(version, committed_at, operation, source_version, rows), one row per write or restore."""
+    return read_if_present(spark, _history_path(path), HISTORY)
 
 
 def _one(history: DataFrame):
@@ -69,6 +36,14 @@ def _one(history: DataFrame):
     return rows[0] if rows else None
 
 
+def _enter(spark: SparkSession, path: str, operation: str, source_version: int | None, rows: int, at: dt.datetime | None) -> int:
+    last = _one(snapshot_history(spark, path))
+    version = last["version"] + 1 if last else 0
+    row = (version, at or dt.datetime.now(dt.timezone.utc), operation, version if source_version is None else source_version, rows)
+    spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").parquet(_history_path(path))
+    return version
+
+
 def write_snapshot(
     df: DataFrame, path: str, committed_at: dt.datetime | None = None, balanced: bool = False
 ) -> int:
@@ -78,18 +53,11 @@ def write_snapshot(
     """
     spark = df.sparkSession
     last = _one(snapshot_history(spark, path))
-    version, claim = last["version"] + 1 if last else 0, uuid.uuid4().hex
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     out = counted.hint("rebalance") if balanced else counted
-    out.write.parquet(_data_path(path, version, claim))
-    return _commit(spark, path, version, "write", version, seen.get["rows"], committed_at, claim)
-
-
-def _live_path(spark: SparkSession, path: str, source_version: int) -> str:
-    """Data folder of the write that a version goes back to."""
-    source = _one(_claims(spark, path).where(F.col("version") == source_version))
-    return _data_path(path, source_version, source["claim"])
+    out.write.mode("overwrite").parquet(_data_path(path, last["version"] + 1 if last else 0))
+    return _enter(spark, path, "write", None, seen.get["rows"], committed_at)
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -100,15 +68,15 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     row = _one(history)
     if row is None:
         raise ValueError(f"no such version of {path}: {version}")
-    return spark.read.parquet(_live_path(spark, path, row["source_version"]))
+    return spark.read.parquet(_data_path(path, row["source_version"]))
 
 
-def _restore(spark: SparkSession, path: str, target, committed_at) -> int:
-    newest = _one(snapshot_history(spark, path))
-    return _commit(
-        spark, path, newest["version"] + 1, "restore", target["source_version"], target["rows"],
-        committed_at, uuid.uuid4().hex,
-    )
+def snapshot_changes(spark: SparkSession, path: str, old: int, new: int) -> DataFrame:
+    """Rows that one version has more often than another: ``change`` is added or removed, ``n`` how often."""
+    both = read_snapshot(spark, path, new).withColumn("n", F.lit(1)).unionByName(
+        read_snapshot(spark, path, old).withColumn("n", F.lit(-1)))
+    sums = both.groupBy(*[c for c in both.columns if c != "n"]).agg(F.sum("n").alias("n")).where("n <> 0")
+    return sums.withColumn("change", F.expr("IF(n > 0, 'added', 'removed')")).withColumn("n", F.abs("n"))
 
 
 def restore_version(
@@ -118,7 +86,7 @@ def restore_version(
     target = _one(snapshot_history(spark, path).where(F.col("version") == version))
     if target is None:
         raise ValueError(f"no version {version} of {path}")
-    return _restore(spark, path, target, committed_at)
+    return _enter(spark, path, "restore", target["source_version"], target["rows"], committed_at)
 
 
 def restore_timestamp(
@@ -129,7 +97,7 @@ def restore_timestamp(
     target = _one(history.where(F.col("committed_at") <= F.lit(moment).cast("timestamp")))
     if target is None:
         raise ValueError(f"{path} has no version at or before {moment}")
-    return _restore(spark, path, target, committed_at)
+    return _enter(spark, path, "restore", target["source_version"], target["rows"], committed_at)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +106,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     if row is None:
         raise ValueError(f"{path} has no version")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return files.load(_live_path(spark, path, row["source_version"])).select(F.col("path").alias("file"))
+    return files.load(_data_path(path, row["source_version"])).select(F.col("path").alias("file"))
 
 
 def write_manifest(spark: SparkSession, path: str, target: str) -> None:

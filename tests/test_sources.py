@@ -189,22 +189,25 @@ def test_crashed_map_write_leaves_no_map(spark, tmp_path):
     assert idmaps.load_id_map(spark, path).count() == 1
 
 
-def test_two_writers_of_a_map_and_of_a_version(spark, tmp_path, monkeypatch):
+def test_two_writers_of_a_map(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "m")
     one, two = (spark.createDataFrame([(k, k)], idmaps.SCHEMA) for k in "ab")
     assert idmaps.save_id_map(one, path)
     monkeypatch.setattr(idmaps, "has_id_map", lambda *_: False)  # looked before the first one published
     assert not idmaps.save_id_map(two, path)
     assert [r["uuid"] for r in idmaps.load_id_map(spark, path).collect()] == ["a"]
+
+
+def test_interrupted_snapshot_is_not_read_and_is_replaced(spark, tmp_path):
     table = str(tmp_path / "t")
     assert snapshots.write_snapshot(spark.range(3), table) == 0
-    history = snapshots.snapshot_history
-    monkeypatch.setattr(snapshots, "snapshot_history", lambda s, p: history(s, p).limit(0))
-    with pytest.raises(RuntimeError, match="another writer"):
-        snapshots.write_snapshot(spark.range(7), table)
-    monkeypatch.undo()
+    spark.range(99).write.parquet(f"{table}/version=1")  # no history row followed
     assert snapshots.read_snapshot(spark, table).count() == 3
-    assert snapshots.snapshot_history(spark, table).count() == 1
+    assert snapshots.write_snapshot(spark.range(7), table) == 1
+    assert snapshots.read_snapshot(spark, table).count() == 7
+    changes = snapshots.snapshot_changes(spark, table, 0, 1)
+    assert sorted((r["id"], r["change"], r["n"]) for r in changes.collect()) == [(k, "added", 1) for k in range(3, 7)]
+    assert {r["change"] for r in snapshots.snapshot_changes(spark, table, 1, 0).collect()} == {"removed"}
 
 
 def test_snapshots(spark, tmp_path):
