@@ -40,8 +40,11 @@ ENTRIES = 16
 ROUNDS = 6
 SCALE = 4096
 #: Cells across the spread of a codebook's entries in each component, and cells kept per part.
-CELLS_ACROSS = 4
+CELLS_ACROSS = 2
 MEMO_CELLS = 1 << 16
+SMALL = 1 << 24
+#: Keeps entries whose distances to a box differ by no more than doubles round.
+SLACK = 1 + 1e-12
 #: Odd factor of the hash of a cell's coordinates.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,19 +55,22 @@ class Memo:
     def __init__(self, entries: np.ndarray, most: int = MEMO_CELLS, across: int = CELLS_ACROSS) -> None:
         self.entries, self.most = entries, most
         spread = int((entries.max(axis=0) - entries.min(axis=0)).max()) if len(entries) else 0
-        self.step = max(1, spread // across)
+        self.shift = max(0, (spread // across).bit_length() - 1)  # cells are a power of two wide
         self.hashes = np.zeros(0, np.uint64)
         self.cells = np.zeros((0, entries.shape[1]), np.int64)
         self.open = np.zeros((0, len(entries)), bool)
 
     def candidates(self, cells: np.ndarray) -> np.ndarray:
         """For each cell, the entries that none dominates across the cell's box."""
-        low = cells[:, None, :] * self.step
-        high = low + self.step - 1
-        own = self.entries[None]
-        least = (np.maximum(np.maximum(low - own, own - high), 0) ** 2).sum(axis=2)
-        most = (np.maximum(np.abs(own - low), np.abs(own - high)) ** 2).sum(axis=2)
-        return least <= most.min(axis=1, keepdims=True)
+        low = (cells << self.shift).astype(np.float64)
+        high = low + ((1 << self.shift) - 1)
+        least, most = np.empty((len(self.entries), len(cells))), np.empty((len(self.entries), len(cells)))
+        for k, entry in enumerate(self.entries.astype(np.float64)):
+            below, above = low - entry, entry - high
+            near = np.maximum(np.maximum(below, above), 0.0)
+            far = np.maximum(-below, -above)
+            least[k], most[k] = np.einsum("ij,ij->i", near, near), np.einsum("ij,ij->i", far, far)
+        return (least <= most.min(axis=0) * SLACK).T
 
     def _learn(self, hashes: np.ndarray, cells: np.ndarray) -> None:
         """Keep the cells of hashes that are not known yet, while there is room."""
@@ -73,7 +79,7 @@ class Memo:
         first = first[new][: self.most - len(self.hashes)]
         if not len(first):
             return
-        made = np.concatenate([self.candidates(cells[first[at:at + 4096]]) for at in range(0, len(first), 4096)])
+        made = np.concatenate([self.candidates(cells[first[at:at + 1024]]) for at in range(0, len(first), 1024)])
         hashes, cells, found = (np.concatenate(x) for x in (
             (self.hashes, hashes[first]), (self.cells, cells[first]), (self.open, made)))
         order = np.argsort(hashes)
@@ -81,7 +87,7 @@ class Memo:
 
     def open_entries(self, points: np.ndarray) -> np.ndarray:
         """For each point, the entries to evaluate."""
-        cells = points // self.step
+        cells = points >> self.shift
         hashes = np.zeros(len(points), np.uint64)
         for column in cells.T:
             hashes = (hashes ^ column.astype(np.uint64)) * MIX
@@ -97,9 +103,14 @@ class Memo:
         best = np.full(len(points), np.iinfo(np.int64).max)
         code = np.zeros(len(points), np.int64)
         wanted = self.open_entries(points)
+        own = np.einsum("ij,ij->i", points, points)
+        # Products of integers below SMALL add up exactly in doubles, whose products are the fast ones.
+        small = max(np.abs(points).max(initial=0), np.abs(self.entries).max(initial=0)) < SMALL
+        factors = points.astype(np.float64) if small else points
         for k, entry in enumerate(self.entries):
             rows = np.nonzero(wanted[:, k])[0]
-            far = ((points[rows] - entry) ** 2).sum(axis=1)
+            product = (factors[rows] @ entry.astype(factors.dtype)).astype(np.int64)
+            far = own[rows] - 2 * product + int(entry @ entry)
             nearer = far < best[rows]
             rows = rows[nearer]
             best[rows], code[rows] = far[nearer], k
