@@ -237,6 +237,21 @@ def symptom_majority(
     )
 
 
+def symptom_dates(
+    observations: DataFrame, labels: Mapping[str, str] = fv.SYMPTOMS_CUI, system: str | None = None
+) -> DataFrame:
+    """(encounter_id, symptoms, first_date, last_date, mentions) by the dates that mentions carry themselves."""
+    listed = codes.one_of("c.code", labels)
+    if system is not None:
+        listed = f"c.system = {text(system)} AND {listed}"
+    dates = f"filter({leaves('modifierExtension', 'url', 'valueDate')}, m -> m.valueDate IS NOT NULL)"
+    hits = f"filter({leaves('code.coding', 'system', 'code')}, c -> {listed})"
+    pair = f"named_struct('label', {codes.lookup('c.code', labels, 'NULL')}, 'symp_date', m.valueDate)"
+    rows = spread_structs(observations, [ENCOUNTER], f"flatten(transform({hits}, c -> transform({dates}, m -> {pair})))", "label")
+    return rows.groupBy("encounter_id", F.col("label").alias("symptoms")).agg(
+        F.min("symp_date").alias("first_date"), F.max("symp_date").alias("last_date"), F.count(F.lit(1)).alias("mentions"))
+
+
 def asserted_symptoms(observations: DataFrame, kept: Iterable[str]) -> DataFrame:
     """Distinct (subject_id, encounter_id, symptom_code) of asserted mentions."""
     own = {code: code for code in kept}

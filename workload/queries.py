@@ -838,6 +838,15 @@ def symptom_majority_cui(w: Warehouse) -> DataFrame:
     return facts.symptom_majority(w.tables["observation"], fv.SYMPTOMS_CUI, system=None)
 
 
+@register(q.query(
+    f"SELECT {q.encounter()} AS encounter_id, {q.cases('cui', fv.SYMPTOMS_CUI)} AS symptoms, min(substr(START_DATE, 1, 10)) AS first_date,"
+    " max(substr(START_DATE, 1, 10)) AS last_date, count(*) AS mentions"
+    f" FROM m1 WHERE rn = 1 AND cui IN ({q.listed(fv.SYMPTOMS_CUI)}) GROUP BY 1, 2"
+))
+def symptom_dates(w: Warehouse) -> DataFrame:
+    return facts.symptom_dates(w.tables["observation"])
+
+
 @register(q.query(
     f"SELECT {q.encounter()} AS encounter_id, {q.cases('snomed_code', fv.SYMPTOMS_B)} AS symptoms FROM m1"
     f" WHERE snomed_code IN ({q.listed(fv.SYMPTOMS_B)}) GROUP BY 1, 2"
