@@ -31,8 +31,8 @@ from cohortloom.llm.common import settled
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
 #: Rounds end once the ranks move by less than this share of the seeds in sum; a round moves them
-#: by at most ``DAMPING`` times what the one before did, so this takes 86 rounds at most.
-TOLERANCE = 1e-6
+#: by at most ``DAMPING`` times what the one before did, so this takes 72 rounds at most.
+TOLERANCE = 1e-5
 #: Blame moves by less than this per host in the last round.
 BLAME_TOLERANCE = 1e-3
 #: Blame at which a host is blocked; 1 is a host whose every page is blocked.
