@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -73,8 +73,8 @@ def extension(url: str, *inner: str, **value: str) -> str:
     return struct_of(_EXTENSION, {"url": text(url), **nested, **value})
 
 
-def as_resource(df: DataFrame, resource: str, values: Mapping[str, str]) -> DataFrame:
-    """Project ``df`` to a resource; fields not given are NULL."""
+def as_resource(df: DataFrame, resource: str, values: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """Project ``df`` to a resource; fields not given are NULL. ``keep`` names columns that stay beside it."""
     kind = schemas.RESOURCES[resource]
     filled = {"resourceType": text(resource), **values}
     unknown = set(filled) - set(kind.fieldNames())
@@ -83,7 +83,7 @@ def as_resource(df: DataFrame, resource: str, values: Mapping[str, str]) -> Data
     return df.selectExpr(*[
         f"CAST({filled.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
         for f in kind.fields
-    ])
+    ], *keep)
 
 
 def resource_struct(resource: str, values: Mapping[str, str]) -> str:

@@ -152,8 +152,10 @@ def map_document_reference(
     salt: str,
     row_key: Sequence[str],
     maps: tuple[DataFrame, DataFrame] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Notes as documents. ``row_key`` names the columns that identify a note.
+    """Notes as documents. ``row_key`` names the columns that identify a note, ``keep`` those
+    that stay beside the resource.
 
     ``maps`` are the patient and encounter maps, if they weren't made from these very notes.
     Without them no row is exchanged.
@@ -174,7 +176,7 @@ def map_document_reference(
         "date": f"concat({scalars.day('START_DATE')}, 'T00:00:00Z')",
         "content": n.array(f"named_struct('attachment', {attachment})"),
         "context": f"named_struct('encounter', {n.array(ENCOUNTER_REF)})",
-    })
+    }, keep)
 
 
 def map_encounter(

@@ -24,7 +24,7 @@ from cohortloom.operators.annotate import to_stored
 from cohortloom.operators.dedup import cap_rows
 from cohortloom.session import settled
 from cohortloom.sources.catalog import register_tables
-from cohortloom.sources.idmaps import has_id_map, load_id_map, save_id_map
+from cohortloom.sources.idmaps import has_id_map, load_id_map, rows_filtered_by_maps, save_id_map
 from cohortloom.sources.publish import last_published, publish
 
 TABLES = {
@@ -41,6 +41,9 @@ ID_MAPS = {
     "encounter_mapping": ("Encounter", resources.ENCOUNTER),
 }
 
+#: Scans from which rows of no cohort are dropped before they are exchanged.
+LEAST_SCAN = "32m"
+
 
 def assign_ids(cohort: DataFrame, folder: str, salt: str) -> bool:
     """Publish the patient and encounter maps of a note cohort, unless the folder has them.
@@ -134,6 +137,7 @@ def build_store(
     leave_out: Mapping[str, Sequence[str]] | None = None,
     rejects: Mapping[str, DataFrame] | None = None,
     row_cap: int = 0,
+    own_maps: bool = False,
 ) -> None:
     """Map all extracts and write the stored tables.
 
@@ -143,36 +147,39 @@ def build_store(
     ``classifier_results`` and ``annotated``. Mentions of every type in ``types`` go to the
     table of the resource it maps to. ``rejects`` are those of earlier stages by name, such
     as unparsed lines; mentions without codes are added. ``row_cap`` keeps the first rows of
-    every mapped extract by id; 0 keeps all.
+    every mapped extract by id; 0 keeps all. ``own_maps`` says that the id maps in ``folder`` were
+    made earlier from these very notes with this salt, so that the texts meet no map.
     """
     notes = extracts["note_cohort"]
-    own = assign_ids(notes, folder, salt)
+    own = assign_ids(notes, folder, salt) or own_maps
     patients, encounters = load_ids(notes.sparkSession, folder)
-    # Exploded once, for the mapped tables and the rejects.
-    usable, uncoded = mentions.usable_mentions(settled(mentions.explode_mentions(annotated, types, order["annotated"])))
-    kinds = [kind for kind in mentions.KINDS if kind in types.values()]
-    first = mentions.first_mentions(usable, order["annotated"])
-    found = {kind: mentions.map_mentions(first, kind, salt) for kind in kinds}
-    mapped = {
-        "Patient": [resources.map_patient(extracts["patient_dimension"], patients)],
-        "Condition": [resources.map_condition(extracts["diagnosis"], patients, encounters, salt, order["diagnosis"])],
-        "Observation": [resources.map_lab_observation(extracts["lab_cohort"], patients, encounters, salt)],
-        "DocumentReference": [resources.map_document_reference(
-            notes, salt, order["note_cohort"], None if own else (patients, encounters))],
-        "Encounter": [resources.map_encounter(extracts["visit_dimension"], patients, encounters, salt)],
-        "MedicationStatement": [],
-        "Procedure": [],
-    }
-    for tag, results in classifiers.items():
-        predictions = resources.first_predictions(results, order["classifier_results"])
-        mapped["Observation"].append(resources.map_classifier(
-            notes, predictions, patients, encounters, salt, order["note_cohort"], tag
-        ))
-    frames = {}
-    for name, kind in TABLES.items():
-        parts = [cap_rows(df, row_cap, ["id"]) for df in [*mapped[kind], *([found[kind]] if kind in found else [])]]
-        whole = parts[0] if parts else notes.sparkSession.createDataFrame([], schemas.RESOURCES[kind])
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        frames[name] = whole
-    write_tables(frames, folder, leave_out, {**(rejects or {}), "mentions": uncoded})
+    with rows_filtered_by_maps(notes.sparkSession, encounters.count(), LEAST_SCAN):
+        # Exploded once, for the mapped tables and the rejects.
+        usable, uncoded = mentions.usable_mentions(settled(mentions.explode_mentions(annotated, types, order["annotated"])))
+        kinds = [kind for kind in mentions.KINDS if kind in types.values()]
+        # Ranked once for all tables of mentions.
+        first = settled(mentions.first_mentions(usable, order["annotated"]))
+        found = {kind: mentions.map_mentions(first, kind, salt) for kind in kinds}
+        mapped = {
+            "Patient": [resources.map_patient(extracts["patient_dimension"], patients)],
+            "Condition": [resources.map_condition(extracts["diagnosis"], patients, encounters, salt, order["diagnosis"])],
+            "Observation": [resources.map_lab_observation(extracts["lab_cohort"], patients, encounters, salt)],
+            "DocumentReference": [resources.map_document_reference(
+                notes, salt, order["note_cohort"], None if own else (patients, encounters))],
+            "Encounter": [resources.map_encounter(extracts["visit_dimension"], patients, encounters, salt)],
+            "MedicationStatement": [],
+            "Procedure": [],
+        }
+        for tag, results in classifiers.items():
+            predictions = resources.first_predictions(results, order["classifier_results"])
+            mapped["Observation"].append(resources.map_classifier(
+                notes, predictions, patients, encounters, salt, order["note_cohort"], tag
+            ))
+        frames = {}
+        for name, kind in TABLES.items():
+            parts = [cap_rows(df, row_cap, ["id"]) for df in [*mapped[kind], *([found[kind]] if kind in found else [])]]
+            whole = parts[0] if parts else notes.sparkSession.createDataFrame([], schemas.RESOURCES[kind])
+            for part in parts[1:]:
+                whole = whole.unionByName(part)
+            frames[name] = whole
+        write_tables(frames, folder, leave_out, {**(rejects or {}), "mentions": uncoded})

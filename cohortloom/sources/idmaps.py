@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +78,8 @@ def import_json_id_map(spark: SparkSession, path: str) -> DataFrame:
 
 #: Bits that a map's row filter takes for each of its rows, and at most.
 FILTER_BITS, MOST_FILTER_BITS = 10, 1 << 29
+FILTER_SETTINGS = ("enabled", "applicationSideScanSizeThreshold", "creationSideThreshold", "expectedNumItems",
+                   "maxNumItems", "numBits", "maxNumBits")
 #: True for every id. A condition on the map's side is what lets the planner filter the other side by it.
 ANY_ID = "source_id >= ''"
 
@@ -97,6 +101,19 @@ def filter_rows_by_maps(spark: SparkSession, rows: int, least_scan: str = "10g")
         spark.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{name}", str(value))
 
 
+@contextmanager
+def rows_filtered_by_maps(spark: SparkSession, rows: int, least_scan: str) -> Iterator[None]:
+    """``filter_rows_by_maps`` for the jobs that run inside; the session's settings come back after them."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    before = {name: spark.conf.get(prefix + name) for name in FILTER_SETTINGS}
+    filter_rows_by_maps(spark, rows, least_scan)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(prefix + name, value)
+
+
 def attach(df: DataFrame, id_map: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
     """Join the id of ``key`` as column ``name``.
 

@@ -6,6 +6,7 @@ uses it as common table expressions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -171,8 +172,8 @@ class Warehouse:
             case_sensitive=case_sensitive,
         )
 
-    def document(self) -> DataFrame:
-        return r.map_document_reference(self.extract("note_cohort"), SALT, ["row_id"])
+    def document(self, keep: Sequence[str] = ()) -> DataFrame:
+        return r.map_document_reference(self.extract("note_cohort"), SALT, ["row_id"], keep=keep)
 
     def encounter(self) -> DataFrame:
         return r.map_encounter(self.extract("visit_dimension"), self.patients, self.encounters, SALT)
@@ -262,6 +263,6 @@ class Warehouse:
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         if self.folder not in _BUILT:
-            self.build(self.folder, self.annotated())
+            self.build(self.folder, self.annotated(), own_maps=True)
             _BUILT.add(self.folder)
         return read_tables(self.spark, self.folder)
