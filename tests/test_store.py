@@ -1,7 +1,10 @@
 """What the store's build moves: texts once, mentions ranked once, rows of no cohort dropped."""
 
+from pyspark.sql import functions as F
+
 from cohortloom.plans import pipeline
 from cohortloom.sources import idmaps
+from workload.queries import QUERIES
 from workload.shapes import Warehouse
 
 DATA = "/root/testdata/sf0.001"
@@ -39,3 +42,15 @@ def test_map_filter_holds_inside_only(spark):
     except KeyError:
         pass
     assert [spark.conf.get(n) for n in names] == before
+
+
+def test_texts_of_repeated_rows_in_files(spark, tmp_path):
+    """Rows of one id are no pairs: each gives its own result row."""
+    for name in ("customer", "nation", "orders", "labels", "events", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{DATA}/{name}.parquet")
+    documents = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id IN (4, 9, 22)")
+    documents.unionByName(documents.where("doc_id = 4")).write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["note_text_from_files"](spark, str(tmp_path))
+    assert "id" not in out.columns
+    assert {r["kind"]: r["n"] for r in out.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        "data": 3, "file": 1}

@@ -17,7 +17,7 @@ from cohortloom.operators.cube import cube_levels, cube_meta, read_cube, slice_s
 from cohortloom.operators.dedup import cap_rows, value_counts
 from cohortloom.plans import facts, reports
 from cohortloom.plans.pipeline import TABLES, read_rejects, read_tables, register_store
-from cohortloom.session import shared_folder
+from cohortloom.session import settled, shared_folder
 from cohortloom.sources import extracts, idmaps, ndjson, notes, snapshots
 from cohortloom.sources.catalog import store_bucketed
 from cohortloom.sources.named_files import write_named
@@ -359,13 +359,13 @@ def note_text_from_files(w: Warehouse) -> DataFrame:
     numbered = w.extract("note_cohort").selectExpr("row_id", "concat('group-', row_id % 24) AS file").where("row_id % 24 < 18")
     lines = numbered.repartition("file").sortWithinPartitions("file", "row_id")
     write_named(lines.select("file", F.col("row_id").cast("string").alias("line")), "file", ".txt", root)
-    keyed = w.extract("note_cohort").selectExpr(f"{scalars.pseudonym('DocumentReference', scalars.row_key(['row_id']), SALT)} AS id", "row_id")
     name = f"concat(IF(row_id % 2 = 0, '{root}/', ''), 'group-', row_id % 24, '.txt')"
     attachment = (
         "named_struct('contentType', a.attachment.contentType, 'data', IF(row_id % 3 = 0, NULL, a.attachment.data),"
         f" 'url', IF(row_id % 3 = 0, {name}, NULL))"
     )
-    documents = w.document().join(keyed, "id").withColumn("content", F.expr(f"transform(content, a -> named_struct('attachment', {attachment}))"))
+    # Texts move once, for all four uses; the row's number comes along instead of by a join.
+    documents = settled(w.document(["row_id"]).withColumn("content", F.expr(f"transform(content, a -> named_struct('attachment', {attachment}))")))
     files = notes.linked_texts(documents, root, max_files=8)
     inline = notes.document_notes(documents.where("row_id % 3 <> 0"), files).selectExpr("'data' AS kind", "encounter", "md5(text) AS text_md5")
     linked = notes.document_notes(documents.where("row_id % 3 = 0"), files).selectExpr("'file' AS kind", "encounter", "md5(text) AS text_md5")
