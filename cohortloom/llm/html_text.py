@@ -1,12 +1,14 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines, one per block element. Lines of menus, scripts, forms and other
-furniture go. Where a page has an article or main element, its other lines are the text, and
-the distribution decides nothing. On other pages, three and more lines in turn that are all link are furniture as well, and text lengths
-are summed over a sliding window of the lines left; the text starts at a surge point, where the sum rises above the threshold,
-and takes in the lines before it back to the next furniture. Without furniture among them, sums
-don't fall to zero before the page ends, so there is no dive point within it. Pages without a
-surge keep all lines left, and so do texts without any tag.
+Markup is stripped to lines, one per block element. Every line has a weight: its text length, or zero
+if it is part of a menu, script, form or other furniture, or, where a page has none of the article and main
+elements, one of three and more lines in turn that are all link. Where it has one, lines outside weigh
+nothing, and lines inside more than the threshold each, so that short articles rise too. Weights are summed over a
+sliding window of lines. The text starts at a surge point, where the sum of the lines that weigh rises above the
+threshold, and takes in the lines before it back to the next furniture. It ends at the dive point behind
+the last surge, where the sum over the window, furniture included, falls to zero. An exact check follows: a run
+behind the dive stays if it holds a sentence, so that a short last paragraph is not lost to the notices
+around it. Pages without a surge keep all lines that weigh, and so do texts without any tag.
 
 Elements named after furniture, and forms, may wrap a page. One that holds the only article or main
 elements is no furniture. Where furniture holds all text of a page, the outer element that holds
@@ -63,6 +65,8 @@ READERS = re.compile(r"(?<![a-z])(?:comments?|respond|disqus\w*)(?![a-z])")
 #: Parts that say what an element has or lacks, not what it is.
 HAS = re.compile(r"(?<![a-z])(?:has|no|with|without)-+[a-z0-9]+(?:-+[a-z0-9]+)*")
 ATTRIBUTES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: A line that ends as a sentence does.
+SENTENCE = re.compile(r"""[.!?\u2026\u3002\uff01\uff1f\u0964\u061f\u06d4]["'\u201d\u2019\u00bb)\]]*$""")
 TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|([!?][^>]*>)|(/?[a-zA-Z][^>]*(?:>|$)))""")
 
 
@@ -207,27 +211,58 @@ def kept_lines(sizes: list[int], window: int = WINDOW, surge: int = SURGE_CHARS)
     return kept
 
 
-def main_text(page: str, window: int = WINDOW, surge: int = SURGE_CHARS) -> str:
-    lines, has_main = lines_of(page)
+def line_weights(lines: list[tuple[str, bool, bool, bool]], has_main: bool, window: int, surge: int) -> list[int]:
+    """What each line adds to the sums: its length, or nothing where it is furniture or outside the main elements.
+
+    A main element marks its lines as text: each one weighs more than the threshold by itself.
+    """
     if has_main:
-        return "\n\n".join(text for text, furniture, main, _ in lines if main and not furniture)
+        return [len(text) + surge if main and not furniture else 0 for text, furniture, main, _ in lines]
     links = [link and not furniture for _, furniture, _, link in lines]
-    runs: list[list[str]] = [[]]  # lines between furniture and lists of links
-    for k, (text, furniture, *_) in enumerate(lines):
-        listed = any(len(links[a:a + window]) == window and all(links[a:a + window]) for a in range(max(0, k - window + 1), k + 1))
-        if not furniture and not listed:
-            runs[-1].append(text)
+    listed = [False] * len(lines)
+    for k in range(len(lines) - window + 1):
+        if all(links[k:k + window]):
+            listed[k:k + window] = [True] * window
+    return [0 if furniture or out else len(text) for (text, furniture, *_), out in zip(lines, listed)]
+
+
+def dive_point(sizes: list[int], window: int = WINDOW, surge: int = SURGE_CHARS) -> int:
+    """Where the text ends: the first line after the last surge at which the sums fall to zero.
+
+    The sums of a surge pass over single lines of furniture, but not over a dive. Without a surge nothing ends.
+    """
+    end, surged, part, dived = len(sizes), False, [], False
+    for k, size in enumerate([*sizes, 0]):
+        over = k == len(sizes) or not sum(sizes[k:k + window])
+        if size:
+            part.append(size)
+            dived = False
+        if over and not dived:
+            if any(sum(part[j:j + window]) > surge for j in range(len(part))):
+                end, surged = k, True
+            part, dived = [], True
+    return end if surged else len(sizes)
+
+
+def main_text(page: str, window: int = WINDOW, surge: int = SURGE_CHARS) -> str:
+    lines, has_main = lines_of(page)
+    weights = line_weights(lines, has_main, window, surge)
+    dive = dive_point(weights, window, surge)
+    runs: list[list[int]] = [[]]  # lines between furniture and lists of links
+    for k, weight in enumerate(weights):
+        if weight:
+            runs[-1].append(k)
         elif runs[-1]:
             runs.append([])
-    texts = [text for run in runs for text in run]
-    kept = kept_lines([len(text) for text in texts], window, surge)
-    if not any(kept):
-        return "\n\n".join(texts)
-    out, at = [], 0
+    places = [k for run in runs for k in run]
+    surged = kept_lines([weights[k] for k in places], window, surge)
+    kept = {k for k, inside in zip(places, surged) if inside}
+    out = []
     for run in runs:
-        if any(kept[at:at + len(run)]):
-            out += run
-        at += len(run)
+        texts = [lines[k][0] for k in run]
+        # Behind the dive only sentences are text.
+        if not kept or not kept.isdisjoint(run) and (run[0] < dive or any(SENTENCE.search(t) for t in texts)):
+            out += texts
     return "\n\n".join(out)
 
 

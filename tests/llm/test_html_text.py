@@ -89,3 +89,28 @@ def test_wrappers_named_after_furniture_stay(page, text):
 ])
 def test_pages_without_main_lose_furniture_only(page, text):
     assert h.main_text(page) == text
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<p>{LONG}</p><nav><li>a<li>b<li>c</nav><div>Example Corp</div><div>All rights reserved</div>", LONG),
+    (f"<p>{LONG}</p><nav><li>a<li>b<li>c</nav><p>Then</p><p>{LONG}</p>", f"{LONG}\n\nThen\n\n{LONG}"),
+    (f"<p>{LONG}</p><nav><li>a<li>b</nav><div>Example Corp</div>", f"{LONG}\n\nExample Corp"),
+    ("<p>One</p><nav><li>a<li>b<li>c</nav><p>Two</p>", "One\n\nTwo"),
+])
+def test_text_ends_at_the_dive_behind_the_last_surge(page, text):
+    assert h.main_text(page) == text
+
+
+def test_dive_point():
+    assert h.dive_point([50, 0, 40, 0, 0, 0, 9, 0, 0, 0], 3, 80) == 3
+    assert h.dive_point([90, 0, 0, 0, 9, 0, 0, 0, 90], 3, 80) == 9
+    assert h.dive_point([40, 0, 0, 0, 45], 3, 80) == 5
+    assert h.dive_point([], 3, 80) == 0
+
+
+def test_article_pages_go_through_the_distribution(monkeypatch):
+    seen = []
+    sums = h.kept_lines
+    monkeypatch.setattr(h, "kept_lines", lambda sizes, *rest: seen.append(sizes) or sums(sizes, *rest))
+    assert h.main_text("<p>before</p><article><p>ab</p><div class=ad>x</div><p>c</p></article><p>after</p>") == "ab\n\nc"
+    assert seen == [[2 + h.SURGE_CHARS, 1 + h.SURGE_CHARS]]
