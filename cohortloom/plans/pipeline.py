@@ -87,7 +87,7 @@ def write_tables(
     } | {f"reject_{stage}": df for stage, df in (rejects or {}).items()}
 
     def write(name: str) -> None:
-        tables[name].write.parquet(f"{root}/{name_of_run}/{name}")
+        tables[name].write.option("compression", "zstd").parquet(f"{root}/{name_of_run}/{name}")
 
     session = next(iter(frames.values())).sparkSession
     with ThreadPoolExecutor(len(TABLES)) as pool:

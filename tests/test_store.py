@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortloom.plans import pipeline
 from cohortloom.sources import idmaps
 from workload.queries import QUERIES
-from workload.shapes import Warehouse
+from workload.shapes import SHAPES, Warehouse
 
 DATA = "/root/testdata/sf0.001"
 
@@ -54,3 +54,21 @@ def test_texts_of_repeated_rows_in_files(spark, tmp_path):
     assert "id" not in out.columns
     assert {r["kind"]: r["n"] for r in out.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()} == {
         "data": 3, "file": 1}
+
+
+def test_notes_meet_only_their_own_orders(spark, tmp_path):
+    """The right rows with a partner, repeats included, and rows of the plain join."""
+    orders = spark.read.parquet(f"{DATA}/orders.parquet")
+    few = orders.where("o_orderkey IN (4, 8, 22, 1001)")
+    few.unionByName(few.where("o_orderkey = 8")).write.parquet(str(tmp_path / "orders.parquet"))
+    documents = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id IN (4, 9, 22, 7)")
+    nulls = documents.where("doc_id = 7").withColumn("doc_id", F.expr("CAST(NULL AS BIGINT)"))
+    documents.unionByName(documents.where("doc_id = 4")).unionByName(nulls).write.parquet(str(tmp_path / "documents.parquet"))
+    w = Warehouse(spark, str(tmp_path))
+    assert sorted(r["o_orderkey"] for r in w.matched("note_cohort").collect()) == [4, 8, 8, 22]
+    found = w.extract("note_cohort")
+    assert sorted(r["row_id"] for r in found.select("row_id").collect()) == [4, 4, 9, 9, 22]
+    left, right, on, columns = SHAPES["note_cohort"]
+    plain = w.table(left).join(w.table(right), F.expr(on)).selectExpr(*columns)
+    assert found.columns == plain.columns and not found.exceptAll(plain).count() and not plain.exceptAll(found).count()
+    assert len(found.inputFiles()) > 0 and not any("/orders.parquet/" in f for f in found.inputFiles())

@@ -103,6 +103,10 @@ SHAPES = {
 }
 
 
+# Columns of the right table in shapes whose left rows are wide or meet few of its rows.
+MATCHED = {name: ["o_orderkey", "o_custkey", "o_orderdate"] for name in ("note_cohort", "nlp_mention")}
+
+
 def shape_sql(name: str) -> str:
     """The shape as a query on the given tables."""
     left, right, on, columns = SHAPES[name]
@@ -118,7 +122,7 @@ _BUILT: set[str] = set()
 class Warehouse:
     """Extracts, id maps and resources over one folder of the given tables.
 
-    Id maps and stored tables are written once per application to the shared folder.
+    Id maps, stored tables and the orders that notes and mentions meet are written once per application to the shared folder.
     Everything else is lazy.
     """
 
@@ -132,9 +136,24 @@ class Warehouse:
         left, right, on, columns = SHAPES[name]
         df = self.table(left)
         if right:
-            df = df.join(self.table(right), F.expr(on))
+            df = df.join(self.matched(name) if name in MATCHED else self.table(right), F.expr(on))
         return df.selectExpr(*columns)
 
+    def matched(self, name: str) -> DataFrame:
+        """Rows of a shape's right table that have a partner, written once per application.
+
+        The planner measures them: while they are small, it broadcasts them and the left rows stay in place.
+        """
+        left, right, on, _ = SHAPES[name]
+        folder = f"{self.folder}-{right}-of-{name}"
+        rows = self.table(right).select(*MATCHED[name])
+        if folder not in _BUILT:
+            key, expression = on.split(" = ")
+            partners = self.table(left).select(F.expr(expression).alias("partner")).distinct()
+            rows.join(partners, F.expr(f"{key} = partner"), "left_semi").write.parquet(folder)
+            _BUILT.add(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     @cached_property
     def folder(self) -> str:
         """Folder of this data's id maps and tables in this application."""
