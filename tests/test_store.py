@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from cohortloom import session
 from cohortloom.plans import pipeline
 from cohortloom.sources import idmaps
+from workload import queries
 from workload.queries import QUERIES
 from workload.shapes import SHAPES, Warehouse
 
@@ -44,16 +46,20 @@ def test_map_filter_holds_inside_only(spark):
     assert [spark.conf.get(n) for n in names] == before
 
 
-def test_texts_of_repeated_rows_in_files(spark, tmp_path):
-    """Rows of one id are no pairs: each gives its own result row."""
+def test_texts_of_repeated_rows_in_files(spark, tmp_path, monkeypatch):
+    """Rows of one id meet each other, and texts are neither joined on ids nor mapped again for each use."""
+    settled = []
+    monkeypatch.setattr(queries, "settled", lambda df: settled.append(df) or session.settled(df))
     for name in ("customer", "nation", "orders", "labels", "events", "lineitem"):
         (tmp_path / f"{name}.parquet").symlink_to(f"{DATA}/{name}.parquet")
     documents = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id IN (4, 9, 22)")
     documents.unionByName(documents.where("doc_id = 4")).write.parquet(str(tmp_path / "documents.parquet"))
     out = QUERIES["note_text_from_files"](spark, str(tmp_path))
-    assert "id" not in out.columns
+    assert ["content" in df.columns for df in settled] == [False, True]
+    assert "DocumentReference|" not in "".join(line for line in plan_of(settled[1]).splitlines() if "Join" in line)
+    assert "OBSERVATION_BLOB" not in plan_of(out) and "decode" not in plan_of(settled[1])
     assert {r["kind"]: r["n"] for r in out.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()} == {
-        "data": 3, "file": 1}
+        "data": 5, "file": 1}
 
 
 def test_notes_meet_only_their_own_orders(spark, tmp_path):

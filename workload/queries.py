@@ -364,8 +364,11 @@ def note_text_from_files(w: Warehouse) -> DataFrame:
         "named_struct('contentType', a.attachment.contentType, 'data', IF(row_id % 3 = 0, NULL, a.attachment.data),"
         f" 'url', IF(row_id % 3 = 0, {name}, NULL))"
     )
-    # Texts move once, for all four uses; the row's number comes along instead of by a join.
-    documents = settled(w.document(["row_id"]).withColumn("content", F.expr(f"transform(content, a -> named_struct('attachment', {attachment}))")))
+    # Rows of one id meet each other; few repeat, so that their numbers are joined without moving the texts.
+    repeats = settled(w.extract("note_cohort").groupBy("row_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    met = w.document(["row_id"]).join(repeats, "row_id", "left").withColumn("time", F.expr("explode(sequence(1, coalesce(times, 1)))"))
+    # Written once for all four uses.
+    documents = settled(met.withColumn("content", F.expr(f"transform(content, a -> named_struct('attachment', {attachment}))")))
     files = notes.linked_texts(documents, root, max_files=8)
     inline = notes.document_notes(documents.where("row_id % 3 <> 0"), files).selectExpr("'data' AS kind", "encounter", "md5(text) AS text_md5")
     linked = notes.document_notes(documents.where("row_id % 3 = 0"), files).selectExpr("'file' AS kind", "encounter", "md5(text) AS text_md5")
