@@ -115,3 +115,82 @@ def test_strings_of_added_tokens(theirs):
     for text in ("a <|endoftext|> b", "a<|endoftext|>b", "<|ENDOFTEXT|>", "<|endoftext|><|startoftext|>x", "don<|endoftext|>'t",
                  "é<|endoftext|>\u0301", "<|endoftext|", "\x1c<|startoftext|>\x1d y", "<|endoftext|>" * 50, "<|<|endoftext|>|>"):
         assert np.frombuffer(own.encode([text], 2)[0], "<u4").tolist() == theirs(text), text
+
+
+class Counting:
+    """A tokenizer that counts the words it is asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, 0
+
+    def __getattr__(self, name):
+        found = getattr(self.tokenizer, name)
+        if not name.startswith("encode"):
+            return found
+
+        def counted(text, **options):
+            self.words += sum(len(x.split()) for x in ([text] if isinstance(text, str) else text))
+            return found(text, **options)
+
+        return counted
+
+
+def test_words_are_encoded_once_whatever_their_case_and_punctuation(theirs):
+    own = t.Words(PATH)
+    own.tokenizer = Counting(own.tokenizer)
+    words = ["alpha", "beta", "größe", "été", "слово", "νερό"]
+    texts = [f"{w} {w.title()}, {w.upper()}. ({w}" for w in words for _ in range(3)]
+    first = own.encode(texts, 2)
+    assert own.tokenizer.words <= 2 * len(words) + 3  # the word, "(" with it, and marks
+    asked = own.tokenizer.words
+    assert own.encode(texts, 2) == first and own.tokenizer.words == asked
+    assert [np.frombuffer(x, "<u4").tolist() for x in first] == [theirs(x) for x in texts]
+
+
+def test_kept_pieces_are_bounded(theirs, monkeypatch):
+    monkeypatch.setattr(t, "KEPT_PIECES", 20)
+    own = t.Words(PATH)
+    for k in range(12):
+        texts = [f"word{chr(97 + k)} Shared, a{k} {'x' * k}!"]
+        assert np.frombuffer(own.encode(texts, 2)[0], "<u4").tolist() == theirs(texts[0])
+        assert len(own.pieces) <= 30
+
+
+def test_scripts_and_composition(theirs):
+    own = t.Words(PATH)
+    texts = ["한국어, 각 각!", "日本語。 ガ ｶﾞ", "Ǆ ǅ, ŉ. İi", "e\u0301, \u0301a. a\u0301b!", "ΟΔΟΣ, οδός.", "a² b½, Ⅷ.", "हिन्दी, ไทย!", "𝒜bc, 𐐀!"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts, 2)] == [theirs(x) for x in texts]
+
+
+def test_texts_beyond_one_group(theirs, monkeypatch):
+    monkeypatch.setattr(t, "TEXTS_BYTES", 30)
+    batch = t.pa.RecordBatch.from_pydict({"id": t.pa.array(range(40)), "text": t.pa.array(["word " * (k % 13) for k in range(40)])})
+    groups = list(t._grouped(batch))
+    assert len(groups) > 5 and sum((g.column(0).to_pylist() for g in groups), []) == list(range(40))
+
+
+def test_a_block_renews_its_probabilities_a_few_times(monkeypatch):
+    renewed, renew = [], t.Model.renew
+    monkeypatch.setattr(t.Model, "renew", lambda self: (renewed.append(self.lanes), renew(self))[1])
+    ids = np.random.default_rng(3).zipf(1.2, 3 * t.BLOCK_IDS + 5).astype(np.uint32) % 3000
+    blocks = t.pack_blocks(ids)
+    assert (t.unpack_blocks(blocks, len(ids)) == ids).all()
+    assert renewed == [4] * len(renewed) and len(renewed) <= 24
+
+
+@pytest.mark.parametrize("block", [1, 2, 9, 1000, 5000, 20000])
+def test_other_block_sizes(block):
+    ids = np.random.default_rng(4).integers(0, 1 << 31, 12000).astype(np.uint32)
+    ids[::3] = 7
+    assert (t.unpack_segment(t.pack_segment([1], [len(ids)], ids[:12000], block))[2] == ids).all()
+
+
+def test_any_damage_is_an_error():
+    ids = np.random.default_rng(5).zipf(1.3, 9000).astype(np.uint32) % 2000
+    whole = t.pack_segment([1], [len(ids)], ids)
+    start = whole.index(t.pack_blocks(ids)[0][1])
+    for at in range(start, start + 400, 40):
+        data = bytearray(whole)
+        data[at] ^= 90
+        with pytest.raises(ValueError, match="block 0"):
+            t.unpack_segment(bytes(data))
